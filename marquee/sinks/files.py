@@ -38,7 +38,15 @@ def _writer(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """CSV with header and doubled quotes, optionally a folder per value."""
-    _writer(as_csv_text(df), partition_by).option("header", True).option("escape", '"').csv(path)
+    (
+        _writer(as_csv_text(df), partition_by)
+        .option("header", True)
+        .option("escape", '"')
+        # Spark trims cells by default when it writes.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
