@@ -150,8 +150,9 @@ _ANCHOR = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 
 
 def _decode(x: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&#x27;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{char}')"
+    # The semicolon may be missing.
+    for entity, char in (("quot", '"'), ("#x27", "''"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{entity};?', '{char}', 'g')"
     return x
 
 
