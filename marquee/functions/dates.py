@@ -16,39 +16,48 @@ _ABBR = r"[A-Za-z]{3}"
 # check keeps the date parser away from text it would have to reject, which
 # costs an exception per row. Parts that are absent default to 1.
 DATE_FORMATS: Sequence[tuple[str, str]] = (
+    (rf"^{_WORD} \d{{1,2}}, \d{{4}}\z", "MMMM d, yyyy"),
+    (rf"^{_ABBR} \d{{1,2}}, \d{{4}}\z", "MMM d, yyyy"),
     (r"^\d{1,2}/\d{1,2}/\d{4}\z", "M/d/yyyy"),
     (r"^\d{4}-\d{1,2}-\d{1,2}\z", "yyyy-M-d"),
     (r"^\d{1,2}-\d{1,2}-\d{4}\z", "d-M-yyyy"),
-    (rf"^{_WORD} \d{{1,2}}, \d{{4}}\z", "MMMM d, yyyy"),
-    (rf"^{_ABBR} \d{{1,2}}, \d{{4}}\z", "MMM d, yyyy"),
-    (rf"^\d{{1,2}} {_WORD} \d{{4}}\z", "d MMMM yyyy"),
-    (rf"^\d{{1,2}} {_ABBR} \d{{4}}\z", "d MMM yyyy"),
     (rf"^{_WORD} \d{{4}}\z", "MMMM yyyy"),
     (rf"^{_ABBR} \d{{4}}\z", "MMM yyyy"),
     (r"^\d{4}\z", "yyyy"),
-    # Read month first where possible, else day first.
+    (rf"^\d{{1,2}} {_WORD} \d{{4}}\z", "d MMMM yyyy"),
+    (rf"^\d{{1,2}} {_ABBR} \d{{4}}\z", "d MMM yyyy"),
+    # Read in the usual order where possible, else in the other one.
     (r"^\d{1,2}/\d{1,2}/\d{4}\z", "d/M/yyyy"),
     (r"^\d{1,2}-\d{1,2}-\d{4}\z", "M-d-yyyy"),
     (r"^\d{4}/\d{1,2}/\d{1,2}\z", "yyyy/M/d"),
 )
 
 
-def parse_release_date(c: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
-    """Date text to DATE by the first format that fits; NULL if none does."""
-    text = trim_ws(c)
+def date_of(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+    """Trimmed date text to DATE by the first format that fits."""
     return F.coalesce(
         *(F.when(text.rlike(shape), F.try_to_date(text, fmt)) for shape, fmt in formats)
     )
 
 
+def parse_release_date(c: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+    """Date text to DATE by the first format that fits; NULL if none does."""
+    return date_of(trim_ws(c), formats)
+
+
+def year_of(text: Column, lenient: bool = False) -> Column:
+    """Trimmed whole-number text to INT; ``lenient`` also takes ``1999.0``."""
+    return (F.regexp_replace(text, r"\.0*\z", "") if lenient else text).try_cast("int")
+
+
+def first_of_year(year: Column) -> Column:
+    """1 January of a year number; NULL outside 1..9999."""
+    return F.when(year.between(1, 9999), F.make_date(year, F.lit(1), F.lit(1)))
+
+
 def date_or_year(date: Column, year: Column, lenient: bool = False) -> Column:
-    """The date, or 1 January of the year where the date is NULL.
+    """The date, or 1 January of the year text where the date is NULL.
 
     The year must be whole-number text; ``lenient`` also takes ``1999.0``.
     """
-    text = trim_ws(year.cast("string"))
-    if lenient:
-        text = F.regexp_replace(text, r"\.0*\z", "")
-    number = text.try_cast("int")
-    first = F.when(number.between(1, 9999), F.make_date(number, F.lit(1), F.lit(1)))
-    return F.coalesce(date, first)
+    return F.coalesce(date, first_of_year(year_of(trim_ws(year.cast("string")), lenient)))

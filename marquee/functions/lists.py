@@ -15,10 +15,14 @@ def is_list_text(c: Column) -> Column:
     return c.startswith("[") & c.endswith("]") & ~c.contains("\n")
 
 
+def list_or_null(text: Column) -> Column:
+    """Trimmed text if it is a list that is not empty, else NULL."""
+    return F.when(is_list_text(text) & (text != "[]"), text)
+
+
 def list_text_or_null(c: Column) -> Column:
     """Trimmed list text; NULL for null tokens, ``[]`` and anything else."""
-    text = trim_ws(c)
-    return F.when(is_list_text(text) & (text != "[]"), text)
+    return list_or_null(trim_ws(c))
 
 
 def malformed_list(c: Column) -> Column:

@@ -13,33 +13,43 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 INTEGER = r"^[+-]?\d+\z"
 
 # Full-match duration shapes on trimmed lower-case text:
-# "1h 30m"/"30m", "90 min", "45 minutes", "2 hours"/"2h", "1:15", "90".
+# "1h 30m"/"30m", "90 min"/"45 minutes", "2 hours"/"2h", "1:15", "90".
 DURATION = (
-    r"(?:(?:\d+\s*h)?\s*\d+\s*m"
-    r"|\d+\s*min(?:utes?)?"
-    r"|\d+\s*h(?:ours?)?"
-    r"|\d+:\d+"
-    r"|\d+)"
+    r"(?U)^(?:(?:(\d+)\s*h)?\s*(\d+)\s*m"
+    r"|(\d+)\s*min(?:utes?)?"
+    r"|(\d+)\s*h(?:ours?)?"
+    r"|(\d+):(\d+)"
+    r"|(\d+))\z"
 )
+# Hours and minutes out of whichever shape matched; no duration starts with '='.
+HOURS_MINUTES = "=$1$4$5:$2$3$6$7"
 
 MISSING = -1
 
 
-def _clip(v: Column, lo: float, hi: float) -> Column:
-    # greatest/least skip NULL, so NULL must not reach them.
-    return F.when(v.isNotNull(), F.least(F.greatest(v, F.lit(lo)), F.lit(hi)))
+def clip(v: Column, lo: float, hi: float) -> Column:
+    """Limit to ``lo..hi``; NULL stays NULL, which greatest and least ignore."""
+    return F.when(v < lo, lo).when(v > hi, hi).otherwise(v)
+
+
+def decimal_or_null(text: Column) -> Column:
+    """Trimmed number text to DOUBLE, NULL if it is no plain number."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def cut_to_int(text: Column) -> Column:
+    """Trimmed number text to INT; decimals are cut, not rounded."""
+    return F.regexp_replace(text, r"\.[0-9]*\z", "").try_cast("int")
 
 
 def parse_rating(c: Column) -> Column:
     """Rating text to DOUBLE clipped to 1..10; anything unreadable is NULL."""
-    text = trim_ws(c.cast("string"))
-    return _clip(F.when(text.rlike(NUMBER), text.try_cast("double")), 1.0, 10.0)
+    return clip(decimal_or_null(trim_ws(c.cast("string"))), 1.0, 10.0)
 
 
 def parse_score(c: Column) -> Column:
     """Score text to INT clipped to 0..100; decimals are cut, not rounded."""
-    text = F.regexp_replace(trim_ws(c.cast("string")), r"\.[0-9]*\z", "")
-    return _clip(text.try_cast("int"), 0, 100)
+    return clip(cut_to_int(trim_ws(c.cast("string"))), 0, 100)
 
 
 def to_number(c: Column, strict: bool = True) -> Column:
@@ -49,20 +59,32 @@ def to_number(c: Column, strict: bool = True) -> Column:
 
 def is_duration(c: Column) -> Column:
     """Whether the text is a known duration shape; NULL counts as valid."""
-    return F.coalesce(norm_text(c.cast("string")).rlike(rf"(?U)^{DURATION}\z"), F.lit(True))
+    return F.coalesce(norm_text(c.cast("string")).rlike(DURATION), F.lit(True))
+
+
+def hours_minutes(text: Column) -> Column:
+    """Trimmed lower-case duration as ``=H:M`` with empty parts allowed.
+
+    Text of no known shape comes back as it is.
+    """
+    return F.regexp_replace(text, DURATION, HOURS_MINUTES)
+
+
+def minutes_of(text: Column, parts: Column) -> Column:
+    """Minutes as BIGINT from a duration and its ``=H:M`` form; -1 if unknown."""
+    hours = F.substring_index(F.substring(parts, 2, 2**31 - 1), ":", 1)
+    minutes = F.substring_index(parts, ":", -1)
+    total = F.try_add(
+        F.try_multiply(F.when(hours == "", "0").otherwise(hours).try_cast("bigint"), F.lit(60)),
+        F.when(minutes == "", "0").otherwise(minutes).try_cast("bigint"),
+    )
+    return F.coalesce(F.when(text != parts, total), F.lit(MISSING).cast("bigint"))
 
 
 def duration_minutes(c: Column) -> Column:
     """Duration text to whole minutes as BIGINT; -1 if missing or unknown."""
     text = norm_text(c.cast("string"))
-    hours = F.regexp_extract(text, r"(?U)^(\d+)(?:\s*h|:)", 1).try_cast("bigint")
-    minutes = F.regexp_extract(text, r"(?U)(?:^|h|:)\s*(\d+)\s*(?:m[a-z]*)?\z", 1).try_cast("bigint")
-    total = F.try_add(
-        F.try_multiply(F.coalesce(hours, F.lit(0)), F.lit(60)),
-        F.coalesce(minutes, F.lit(0)),
-    )
-    known = text.rlike(rf"(?U)^{DURATION}\z") & (hours.isNotNull() | minutes.isNotNull())
-    return F.coalesce(F.when(known, total), F.lit(MISSING).cast("bigint"))
+    return minutes_of(text, hours_minutes(text))
 
 
 def duration_ok(minutes: Column) -> Column:
@@ -70,22 +92,24 @@ def duration_ok(minutes: Column) -> Column:
     return minutes != MISSING
 
 
-def parse_votes(c: Column) -> Column:
-    """Vote text such as ``1.2K`` or ``3M`` to BIGINT; -1 if missing or unknown.
+def votes_of(text: Column) -> Column:
+    """Trimmed lower-case vote text such as ``1.2k`` to BIGINT; -1 if unknown.
 
     The product is taken in DOUBLE and then cut, so ``8.2m`` is 8199999.
     """
-    text = norm_text(c.cast("string"))
     number = trim_ws(F.substring(text, F.lit(1), F.length(text) - 1), separators=True)
-    scaled = F.when(number.rlike(NUMBER), number.try_cast("double"))
-    votes = (
-        F.when(text.endswith("k"), (scaled * 1_000).try_cast("bigint"))
-        .when(text.endswith("m"), (scaled * 1_000_000).try_cast("bigint"))
-        .when(text.rlike(INTEGER), text.try_cast("bigint"))
+    factor = F.when(text.endswith("k"), 1_000).when(text.endswith("m"), 1_000_000)
+    votes = F.when(factor.isNotNull(), (decimal_or_null(number) * factor).try_cast("bigint")).when(
+        text.rlike(INTEGER), text.try_cast("bigint")
     )
     return F.coalesce(votes, F.lit(MISSING).cast("bigint"))
 
 
+def parse_votes(c: Column) -> Column:
+    """Vote text such as ``1.2K`` or ``3M`` to BIGINT; -1 if missing or unknown."""
+    return votes_of(norm_text(c.cast("string")))
+
+
 def rating_code(c: Column) -> Column:
     """Position of a FLOAT rating on the grid -1, 0.0, 0.1 ... 10.0.
 

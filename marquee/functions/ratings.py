@@ -43,10 +43,15 @@ def map_values(c: Column, mapping: Mapping, default) -> Column:
     return result.otherwise(default) if result is not None else F.lit(default)
 
 
+def group_of(text: Column) -> Column:
+    """Trimmed lower-case rating code to its group."""
+    code_to_group = {code: group for group, codes in RATING_GROUPS.items() for code in codes}
+    return map_values(text, code_to_group, UNRATED)
+
+
 def rating_group(c: Column) -> Column:
     """Age-rating code to its group; unknown and NULL are ``unrated``."""
-    code_to_group = {code: group for group, codes in RATING_GROUPS.items() for code in codes}
-    return map_values(norm_text(c), code_to_group, UNRATED)
+    return group_of(norm_text(c))
 
 
 def rating_min_age(group: Column) -> Column:
@@ -59,6 +64,11 @@ def rating_min_age_int(group: Column) -> Column:
     return map_values(group, MIN_AGE, F.lit(None).cast("int"))
 
 
+def is_known_code(text: Column) -> Column:
+    """Whether trimmed lower-case text is a rating code; NULL is not."""
+    return F.coalesce(text.isin(*KNOWN_CODES), F.lit(False))
+
+
 def misplaced_rating(duration: Column, mpa: Column) -> Column:
     """The duration holds a known rating code while the rating is missing."""
-    return F.coalesce(norm_text(duration).isin(*KNOWN_CODES), F.lit(False)) & mpa.isNull()
+    return is_known_code(norm_text(duration)) & mpa.isNull()

@@ -38,10 +38,14 @@ def is_null_token(c: Column) -> Column:
     return F.coalesce(F.lower(c).isin("", "[]", "n/a"), F.lit(True))
 
 
+def token_to_null(text: Column) -> Column:
+    """Null tokens to NULL, for text that is trimmed already."""
+    return F.when(~F.lower(text).isin("", "[]", "n/a"), text)
+
+
 def null_tokens(c: Column) -> Column:
     """Trim, then turn null tokens into NULL."""
-    text = trim_ws(c)
-    return F.when(~F.lower(text).isin("", "[]", "n/a"), text)
+    return token_to_null(trim_ws(c))
 
 
 def null_if_in(c: Column, tokens: Iterable[str] = PANDAS_NA) -> Column:
@@ -54,17 +58,32 @@ def norm_text(c: Column) -> Column:
     return F.lower(trim_ws(c, separators=True))
 
 
-def clean_title(c: Column) -> Column:
-    """Drop a leading rank such as ``12. ``, then trim and apply null tokens.
+def unranked(c: Column) -> Column:
+    """Text without a leading rank such as ``12. ``, trimmed.
 
     The rank is looked for before trimming, so a leading blank keeps it.
     """
-    return null_tokens(F.regexp_replace(c, r"(?U)^\d+\.\s*", ""))
+    return trim_ws(F.regexp_replace(c, r"(?U)^\d+\.\s*", ""))
+
+
+def clean_title(c: Column) -> Column:
+    """Title without its rank, trimmed, null tokens to NULL."""
+    return token_to_null(unranked(c))
+
+
+def without_query(c: Column) -> Column:
+    """URL up to its query string, trimmed.
+
+    Only text with a line break needs the pattern, as a query does not
+    reach over one.
+    """
+    cut = F.when(c.contains("\n"), F.regexp_replace(c, r"(?d)\?.*\z", ""))
+    return trim_ws(cut.otherwise(F.substring_index(c, "?", 1)))
 
 
 def clean_link(c: Column) -> Column:
     """URL without its query string, trimmed, null tokens to NULL."""
-    return null_tokens(F.regexp_replace(c, r"(?d)\?.*\z", ""))
+    return token_to_null(without_query(c))
 
 
 def extract_id(c: Column) -> Column:

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -75,75 +77,111 @@ SIBLINGS = {
     "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
 }
 SCOPE = frozenset("html body ul ol dl table select div article section nav".split())
-HIDDEN = frozenset(("script", "style", "template"))
+HIDDEN = frozenset(("script", "style"))  # their content is neither markup nor text
 
+_ATTRIBUTE = r"""[\s/]*+([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))?+"""
+_ATTRIBUTES = re.compile(_ATTRIBUTE)
+_NO_GROUPS = _ATTRIBUTE.replace("(", "(?:").replace("(?:?", "(?")
+# A start tag; the second form takes one whose attributes are malformed.
+_START = re.compile(rf"<([a-zA-Z][^\s/>]*+)((?:{_NO_GROUPS})*+)[\s/]*+>")
+_LOOSE_START = re.compile(r"<([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_END = re.compile(r"</([a-zA-Z][^\s/>]*+)[^>]*+>")
+_SELECTOR = re.compile(r"(\w+)(?:\.([\w-]+)|\[([\w-]+)=(.*)\])?\Z")
 
-class _Node:
-    __slots__ = ("tag", "attrs", "children")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
-
-    def walk(self) -> Iterator[_Node]:
-        stack = [c for c in reversed(self.children) if isinstance(c, _Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, _Node))
-
-    def text(self) -> str:
-        parts, stack = [], list(reversed(self.children))
-        while stack:
-            item = stack.pop()
-            if isinstance(item, str):
-                parts.append(item)
-            elif item.tag not in HIDDEN:
-                stack.extend(reversed(item.children))
-        return "".join(parts)
-
-
-class _Builder(HTMLParser):
-    """Tree of a page; tolerates open and stray tags."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = _Node("", {})
-        self.open = [self.root]
-
-    def _end(self, tags: Sequence[str], scope: frozenset[str] = frozenset()) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                del self.open[i:]
-                return
-            if self.open[i].tag in scope:
-                return
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ENDS_PARAGRAPH:
-            self._end(("p",), SCOPE)
-        if tag in SIBLINGS:
-            self._end(SIBLINGS[tag], SCOPE)
-        node = _Node(tag, {k: v or "" for k, v in reversed(attrs)})
-        self.open[-1].children.append(node)
-        if tag not in VOID:
-            self.open.append(node)
-
-    def handle_endtag(self, tag):
-        if tag not in VOID:
-            self._end((tag,))
-
-    def handle_data(self, data):
-        self.open[-1].children.append(data)
-
-
-def _parse(html: str) -> _Node:
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    return builder.root
+class _Page:
+    """Elements of a page in document order, with the spans they cover.
 
+    Element ``i`` contains the elements ``i + 1`` to ``end[i]`` and the text
+    pieces ``text_from[i]`` to ``text_to[i]``. Element 0 is the page itself.
+    """
 
-_SELECTOR = re.compile(r"(\w*)(?:\.([\w-]+)|\[([\w-]+)=(.*)\])?\Z")
+    def __init__(self, html: str):
+        self.pieces: list[str] = []
+        self.raw = [""]
+        self.end, self.text_from, self.text_to = [0], [0], [0]
+        self.by_tag: dict[str, list[int]] = {}
+        self._parsed: dict[int, dict[str, str]] = {}
+        self._scan(html)
+
+    def _scan(self, html: str) -> None:
+        pieces, opened = self.pieces, [(0, "")]
+
+        def close_to(depth: int) -> None:
+            for i, _ in opened[depth:]:
+                self.end[i], self.text_to[i] = len(self.raw) - 1, len(pieces)
+            del opened[depth:]
+
+        def close(tags, scope=frozenset()) -> None:
+            for depth in range(len(opened) - 1, 0, -1):
+                tag = opened[depth][1]
+                if tag in tags:
+                    close_to(depth)
+                    return
+                if tag in scope:
+                    return
+
+        at, size = 0, len(html)
+        while at < size:
+            mark = html.find("<", at)
+            if mark != at:
+                pieces.append(html[at:mark] if mark >= 0 else html[at:])
+                if mark < 0:
+                    break
+            following = html[mark + 1:mark + 2]
+            if following == "/":
+                found = _END.match(html, mark)
+                if found:
+                    tag = found[1].lower()
+                    if tag not in VOID:
+                        close((tag,))
+                    at = found.end()
+                    continue
+            elif following in ("!", "?"):
+                stop = html.find("-->", mark + 4) if html.startswith("<!--", mark) else html.find(">", mark)
+                at = size if stop < 0 else stop + (3 if html.startswith("<!--", mark) else 1)
+                continue
+            found = following.isalpha() and (_START.match(html, mark) or _LOOSE_START.match(html, mark))
+            if not found:
+                pieces.append("<")
+                at = mark + 1
+                continue
+            tag, at = found[1].lower(), found.end()
+            if tag in ENDS_PARAGRAPH:
+                close(("p",), SCOPE)
+            if tag in SIBLINGS:
+                close(SIBLINGS[tag], SCOPE)
+            i = len(self.raw)
+            self.raw.append(found[2])
+            self.end.append(i)
+            self.text_from.append(len(pieces))
+            self.text_to.append(len(pieces))
+            self.by_tag.setdefault(tag, []).append(i)
+            if tag in HIDDEN:
+                stop = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, at)
+                at = stop.end() if stop else size
+            elif tag not in VOID and not html.startswith("/>", at - 2):
+                opened.append((i, tag))
+        close_to(0)
+
+    def attributes(self, i: int) -> dict[str, str]:
+        found = self._parsed.get(i)
+        if found is None:
+            found = self._parsed[i] = {}
+            for name, value in _ATTRIBUTES.findall(self.raw[i]):
+                if value[:1] in ('"', "'"):
+                    value = value[1:-1]
+                found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+        return found
+
+    def text(self, i: int) -> str:
+        found = self.pieces[self.text_from[i]:self.text_to[i]]
+        return "".join(unescape(t) if "&" in t else t for t in found)
+
+    def inside(self, i: int, tag: str) -> Iterator[int]:
+        every = self.by_tag.get(tag, ())
+        for k in range(bisect_right(every, i), bisect_right(every, self.end[i])):
+            yield every[k]
 
 
 class _Reader:
@@ -153,7 +191,7 @@ class _Reader:
         self.fields = fields
         self._rules: dict[str, tuple] = {}
 
-    def matches(self, root: _Node, selector: str) -> Iterator[_Node]:
+    def matches(self, page: _Page, root: int, selector: str) -> Iterator[int]:
         rule = self._rules.get(selector)
         if rule is None:
             found = _SELECTOR.match(selector)
@@ -161,69 +199,57 @@ class _Reader:
                 raise ValueError(f"unknown selector {selector!r}")
             rule = self._rules[selector] = found.groups()
         tag, cls, attr, value = rule
-        for node in root.walk():
-            if tag and node.tag != tag:
-                continue
-            if cls and cls not in node.attrs.get("class", "").split():
+        for i in page.inside(root, tag):
+            if cls and cls not in page.attributes(i).get("class", "").split():
                 continue
-            if attr and node.attrs.get(attr) != value:
+            if attr and page.attributes(i).get(attr) != value:
                 continue
-            yield node
-
-    def nth(self, root: _Node, selector: str, n: int) -> _Node | None:
-        for i, node in enumerate(self.matches(root, selector)):
-            if i == n:
-                return node
-        return None
-
-    def first_n(self, root: _Node, selector: str, n: int | None) -> list[_Node]:
-        nodes = []
-        for node in self.matches(root, selector):
-            if n is not None and len(nodes) == n:
-                break
-            nodes.append(node)
-        return nodes
-
-    def value(self, node: _Node, f: Field) -> str:
-        return node.attrs[f.attr] if f.attr else node.text()
-
-    def joined(self, root: _Node, f: Field) -> str | None:
-        node = self.nth(root, f.select, f.nth)
-        if node is None:
+            yield i
+
+    def nth(self, page: _Page, root: int, selector: str, n: int) -> int | None:
+        return next(islice(self.matches(page, root, selector), n, None), None)
+
+    def value(self, page: _Page, i: int, f: Field) -> str:
+        return page.attributes(i)[f.attr] if f.attr else page.text(i)
+
+    def joined(self, page: _Page, root: int, f: Field) -> str | None:
+        i = self.nth(page, root, f.select, f.nth)
+        if i is None:
             if f.required:
                 raise LookupError(f"no {f.select}")
             return f.default
-        text = self.value(node, f)
+        text = self.value(page, i, f)
         if f.extra:
-            other = self.nth(root, f.extra, 0)
+            other = self.nth(page, root, f.extra, 0)
             if other is not None:
-                text = (text + f.sep if text or f.extra_optional else text) + other.text()
+                text = (text + f.sep if text or f.extra_optional else text) + page.text(other)
             elif not f.extra_optional:
                 raise LookupError(f"no {f.extra}")
         return text
 
-    def read(self, root: _Node, f: Field):
+    def read(self, page: _Page, root: int, f: Field):
         if f.within:
-            root = self.nth(root, f.within, f.within_nth or 0)
-            if root is None:
+            section = self.nth(page, root, f.within, f.within_nth or 0)
+            if section is None:
                 if f.within_nth is not None:
                     raise LookupError(f"no {f.within} number {f.within_nth}")
                 return f.default
+            root = section
         if f.each:
-            items = self.first_n(root, f.each, f.limit)
+            items = list(islice(self.matches(page, root, f.each), f.limit))
             if f.skip:
-                items = [i for i in items if self.nth(i, f.select, f.nth) is not None]
-            return [self.joined(i, f) for i in items]
+                items = [i for i in items if self.nth(page, i, f.select, f.nth) is not None]
+            return [self.joined(page, i, f) for i in items]
         if f.many:
-            return [self.value(n, f) for n in self.first_n(root, f.select, f.limit)]
-        return self.joined(root, f)
+            return [self.value(page, i, f) for i in islice(self.matches(page, root, f.select), f.limit)]
+        return self.joined(page, root, f)
 
-    def row(self, root: _Node) -> tuple[list, list[str], bool]:
+    def row(self, page: _Page, root: int) -> tuple[list, list[str], bool]:
         """Values, errors, and whether the row as a whole failed."""
         values, errors, failed = [], [], False
         for f in self.fields:
             try:
-                value = self.read(root, f)
+                value = self.read(page, root, f)
             except (LookupError, ValueError) as e:
                 value = f.default
                 errors.append(f"{f.name}: {e}")
@@ -265,18 +291,18 @@ def _extract(
 
     def rows_of(html_text: str | None, reader: _Reader) -> Iterator[tuple]:
         try:
-            root = _parse(html_text)
+            page = _Page(html_text)
         except Exception as e:  # a page that cannot be parsed is one failed row
             yield (-1, [list(f.default) if isinstance(f.default, tuple) else f.default for f in fields],
                    [f"page: {e}"], True)
             return
         if item is None:
-            yield (0, *reader.row(root))
+            yield (0, *reader.row(page, 0))
             return
-        if container:
-            root = reader.nth(root, container, 0)
-        for i, node in enumerate(reader.matches(root, item) if root else ()):
-            yield (i, *reader.row(node))
+        root = reader.nth(page, 0, container, 0) if container else 0
+        if root is not None:
+            for n, i in enumerate(reader.matches(page, root, item)):
+                yield (n, *reader.row(page, i))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(fields)

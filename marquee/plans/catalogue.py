@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.functions import (
-    clean_link, clean_title, date_or_year, extract_id, list_text_or_null, list_to_text, money_amount,
-    null_tokens, parse_rating, parse_release_date, parse_score,
-)
+from marquee.functions import extract_id, list_to_text, money_amount, trim_ws
+from marquee.functions.dates import date_of, first_of_year, year_of
+from marquee.functions.lists import list_or_null
+from marquee.functions.numbers import clip, cut_to_int, decimal_or_null
+from marquee.functions.text import token_to_null, unranked, without_query
 from marquee.operators.aggregate import missing_stats
 from marquee.operators.columns import (
     absent_columns, lead_columns, rename_columns, unexpected_columns,
@@ -50,42 +51,62 @@ def check_columns(df: DataFrame) -> ColumnCheck:
 def clean_catalogue(
     df: DataFrame, awards_as_text: bool = False, lenient_year: bool = False
 ) -> DataFrame:
-    """Raw yearly rows to typed catalogue rows, in one projection.
+    """Raw yearly rows to typed catalogue rows.
 
     Columns keep their order, ``id`` is added at the end and ``year`` is
     used for missing dates and dropped. Unknown columns are kept, absent
     ones are added as NULL. Awards are kept only when they are a printed
     list, unless ``awards_as_text``.
+
+    Three projections: trim, read, combine. What one projection computes is
+    used more than once by the next, so Spark keeps them apart and computes
+    it once per row.
     """
     check = check_columns(df)
     if check.unexpected or check.absent:
         log.warning("unexpected columns %s, absent columns %s", *check)
     raw = rename_columns(df, RENAMES)
-
     types = {f.name: f.dataType for f in raw.schema.fields}
+    present = [c for c in raw.columns if c not in ("year", "id")]
+    order = [*present, *(c for c in CATALOGUE.names if c not in (*present, "id"))]
 
     def text(name: str) -> Column:
-        if name not in types:
-            return F.lit(None).cast("string")
         c = F.col(f"`{name}`")
         return list_to_text(c) if isinstance(types[name], T.ArrayType) else c.cast("string")
 
-    link = clean_link(text("movie_link"))
-    cleaned: dict[str, Column] = {c: null_tokens(text(c)) for c in PLAIN_TEXT}
-    cleaned |= {c: list_text_or_null(text(c)) for c in LIST_COLUMNS}
+    trim = {"title": unranked, "movie_link": without_query}
+    trimmed = raw.select(*(
+        (trim.get(c, trim_ws)(text(c)) if c in CATALOGUE.names or c == "year" else F.col(f"`{c}`")).alias(c)
+        for c in (*present, *(["year"] if "year" in types else []))
+    ))
+
+    read: dict[str, Callable[[Column], Column]] = {c: list_or_null for c in LIST_COLUMNS}
+    read |= {c: token_to_null for c in (*PLAIN_TEXT, "title", "movie_link")}
     if awards_as_text:
-        cleaned["awards_content"] = null_tokens(text("awards_content"))
-    cleaned |= {
-        "rating": parse_rating(text("rating")),
-        "méta_score": parse_score(text("méta_score")),
-        "release_date": date_or_year(parse_release_date(text("release_date")), text("year"), lenient_year),
-        "title": clean_title(text("title")),
-        "movie_link": link,
-        "id": extract_id(link),
+        read["awards_content"] = token_to_null
+    read |= {
+        "rating": decimal_or_null,
+        "méta_score": cut_to_int,
+        "release_date": date_of,
+        "year": lambda c: year_of(c, lenient_year),
     }
-    present = [c for c in raw.columns if c not in ("year", "id")]
-    order = [*present, *(c for c in CATALOGUE.names if c not in (*present, "id")), "id"]
-    return raw.select(*(cleaned.get(c, F.col(f"`{c}`")).alias(c) for c in order))
+    values = trimmed.select(*(
+        read[c](F.col(f"`{c}`")).alias(c) if c in read else F.col(f"`{c}`") for c in trimmed.columns
+    ))
+
+    combined: dict[str, Column] = {
+        f.name: F.lit(None).cast(f.dataType) for f in CATALOGUE.fields if f.name not in present
+    }
+    if "rating" in present:
+        combined["rating"] = clip(F.col("rating"), 1.0, 10.0)
+    if "méta_score" in present:
+        combined["méta_score"] = clip(F.col("`méta_score`"), 0, 100)
+    if "movie_link" in present:
+        combined["id"] = extract_id(F.col("movie_link"))
+    if "year" in types:
+        date = F.col("release_date") if "release_date" in present else combined["release_date"]
+        combined["release_date"] = F.coalesce(date, first_of_year(F.col("year")))
+    return values.select(*(combined.get(c, F.col(f"`{c}`")).alias(c) for c in (*order, "id")))
 
 
 class Curated(NamedTuple):

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import (
-    duration_minutes, duration_ok, misplaced_rating, missing_flag, norm_text, parse_votes,
-    rating_code, rating_group, rating_min_age, rating_min_age_int, to_number,
+    duration_ok, missing_flag, norm_text, rating_code, rating_min_age, rating_min_age_int, to_number,
 )
-from marquee.functions.numbers import MISSING
+from marquee.functions.numbers import MISSING, hours_minutes, minutes_of, votes_of
+from marquee.functions.ratings import group_of, is_known_code
 from marquee.operators.columns import narrow_ints, swap_where
 
 
@@ -31,24 +31,32 @@ def normalise_catalogue(df: DataFrame, strict: bool = True) -> DataFrame:
     misplaced ratings comes before both columns are read. ``strict`` fails
     on a year or score that is no number, otherwise it counts as missing.
     """
-    # One projection per dependency level, so nothing is computed twice.
-    swapped = swap_where(df, "duration", "MPA", misplaced_rating(F.col("duration"), F.col("MPA")))
-
     def number(name: str) -> Column:
         c = F.col(name)
-        return c.cast("double") if strict else c.try_cast("double")
+        return F.coalesce(c.cast("double") if strict else c.try_cast("double"), F.lit(float(MISSING)))
 
-    parsed = swapped.withColumns({
+    # One projection per level: what a level computes is used more than once
+    # by the next, so Spark keeps them apart and computes it once per row.
+    texts = df.withColumns({
         "id": norm_text(F.col("id")),
         "title": norm_text(F.col("title")),
+        "votes": norm_text(F.col("votes").cast("string")),
+        "_duration": norm_text(F.col("duration").cast("string")),
+        "_mpa": norm_text(F.col("MPA")),
+    })
+    swap = is_known_code(F.col("_duration")) & F.col("MPA").isNull()
+    swapped = swap_where(swap_where(texts.withColumn("_swap", swap), "duration", "MPA", F.col("_swap")),
+                         "_duration", "_mpa", F.col("_swap"))
+    parts = swapped.withColumn("_parts", hours_minutes(F.col("_duration")))
+    parsed = parts.withColumns({
         "year": to_number(F.col("year"), strict),
-        "duration": duration_minutes(F.col("duration")),
+        "duration": minutes_of(F.col("_duration"), F.col("_parts")),
         "MPA_original": F.col("MPA"),
-        "MPA": rating_group(F.col("MPA")),
-        "rating": F.coalesce(number("rating"), F.lit(float(MISSING))).cast("float"),
-        "votes": parse_votes(F.col("votes")),
-        "meta_score": F.coalesce(number("meta_score"), F.lit(float(MISSING))).cast("int"),
-    })
+        "MPA": group_of(F.col("_mpa")),
+        "rating": number("rating").cast("float"),
+        "votes": votes_of(F.col("votes")),
+        "meta_score": number("meta_score").cast("int"),
+    }).drop("_duration", "_mpa", "_swap", "_parts")
     flagged = parsed.withColumns({
         "duration_converted": duration_ok(F.col("duration")),
         "MPA_min_age": rating_min_age(F.col("MPA")),
