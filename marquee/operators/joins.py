@@ -12,8 +12,8 @@ HOT_ROWS = 1_000_000
 # At most this many keys are spread, so the set that is broadcast is bounded.
 # A key outside the n most frequent ones has at most 1/n of the rows.
 HOT_KEYS = 1_000
-# Tasks that a hot key is spread over.
-HOT_PARTS = 200
+# Links are broadcast up to this size in all.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def merge_details(
@@ -52,16 +52,19 @@ def semi_join_spread(
     key: str,
     *,
     hot_rows: int = HOT_ROWS,
-    parts: int = HOT_PARTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``distinct_keys``; NULL matches NULL.
 
     ``counts`` holds ``(key, count)`` of ``df``. Adaptive skew handling does
     not reach a join with an aggregated side, so rows of a hot key get a part
     number from the task that reads them, and the one matching key row is
-    repeated for every part. All other rows stay in part 0.
+    repeated for every part. All other rows stay in part 0. There are as many
+    ``parts`` as shuffle partitions by default, so they grow with the job.
     """
     k = f"`{key}`"
+    if parts is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(
         counts.filter(F.col("count") >= hot_rows)
         .orderBy(F.desc("count"), F.col(k))
@@ -87,16 +90,21 @@ def restrict_pages(
     listing: DataFrame,
     on: str = "Movie Link",
     url: str = "url",
+    max_broadcast: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Pages whose URL is a link of the listing. Run it before extraction.
 
-    Only the URL column is read to count the hot URLs; the page bodies move
-    once, and not at all when the links are few enough to be broadcast.
+    The size of the distinct links is measured first, by a job over the
+    listing. Up to ``max_broadcast`` bytes they are broadcast and no page
+    moves. Above that pages are shuffled once, with hot URLs spread.
     """
     present = pages.filter(F.col(f"`{url}`").isNotNull())
-    counts = present.groupBy(url).count()
     links = listing.select(F.col(f"`{on}`").alias(url)).filter(F.col(url).isNotNull()).distinct()
+    size = links.agg(F.sum(F.octet_length(F.col(url).cast("string")) + 32)).first()[0] or 0
+    if size <= max_broadcast:
+        return present.join(F.broadcast(links), url, "left_semi")
+    counts = present.groupBy(url).count()
     return semi_join_spread(present, counts, links, url, hot_rows=hot_rows)
 
 

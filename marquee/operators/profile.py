@@ -39,8 +39,10 @@ def numeric_stats(
 
     Quantiles are exact with linear interpolation, yet no task holds a whole
     column: approximate quantiles with a known rank error bracket each wanted
-    rank, and only the values inside the bracket, about 4/accuracy of the
-    rows, are ranked. Everything below it is a single count.
+    rank, and only the values inside a bracket, about 4/accuracy of the rows,
+    are ranked one by one. The values between two brackets are one count.
+    The brackets, one row per column, are computed first, by a job of their
+    own: read lazily they would be computed anew for every use.
     """
     stats = long.groupBy("column").agg(
         F.count("value").alias("count"),
@@ -52,50 +54,50 @@ def numeric_stats(
         .alias("_ends"),
     )
     n = len(probs)
+    names = [_name(p) for p in probs]
     if not exact:
-        return stats.select(
-            "column", "count", "mean", "std", "min",
-            *(F.col("_ends")[i].alias(_name(p)) for i, p in enumerate(probs)), "max",
-        )
+        found = (F.col("_ends")[i].alias(name) for i, name in enumerate(names))
+        return stats.select("column", "count", "mean", "std", "min", *found, "max")
 
+    known = stats.collect()
+    session, shape = long.sparkSession, stats.schema
+    stats = session.createDataFrame(known, shape)
     few = F.col("count") <= accuracy  # too few rows for the rank error to mean much
-    wanted = stats.select(
+    ends = stats.select(
         "column",
-        F.explode(F.array(*(
-            F.struct(
-                F.lit(i).alias("q"),
-                ((F.col("count") - 1) * F.lit(float(p))).alias("rank"),
-                F.when(few, F.col("min")).otherwise(F.col("_ends")[i]).alias("lo"),
-                F.when(few, F.col("max")).otherwise(F.col("_ends")[n + i]).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ))).alias("w"),
-    ).select("column", "w.*")
-
-    # The broadcast side has one row per column and quantile.
-    inside = (
-        long.filter(F.col("value").isNotNull())
-        .join(F.broadcast(wanted), "column")
-        .filter(F.col("value") <= F.col("hi"))
-        .groupBy("column", "q", "rank", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("v"))
+        *(F.when(few, F.col("min")).otherwise(F.col("_ends")[i]).alias(f"lo{i}") for i in range(n)),
+        *(F.when(few, F.col("max")).otherwise(F.col("_ends")[n + i]).alias(f"hi{i}") for i in range(n)),
+    )
+    value = F.col("value")
+    inside, passed = F.lit(False), F.lit(0)
+    for i in range(n):
+        inside = inside | value.between(F.col(f"lo{i}"), F.col(f"hi{i}"))
+        passed = passed + (value > F.col(f"hi{i}")).cast("int")
+    counted = (
+        long.filter(value.isNotNull())
+        .join(F.broadcast(ends), "column")  # one row per column
+        .groupBy("column", passed.alias("passed"), F.when(inside, value).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = Window.partitionBy("column", "q").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
+    # Values between two brackets come before those of the next bracket.
+    running = Window.partitionBy("column").orderBy("passed", F.col("v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    upto = F.col("upto")
-    lower = F.min(F.when(upto > F.floor("rank"), F.col("v")))
-    upper = F.min(F.when(upto > F.ceil("rank"), F.col("v")))
-    quantiles = (
-        inside.withColumn("upto", F.sum("n").over(running))
-        .groupBy("column", "q", "rank")
-        .agg(lower.alias("a"), upper.alias("b"))
-        .select("column", "q", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - F.floor("rank"))).alias("x"))
-        .groupBy("column")
-        .agg(*(F.max(F.when(F.col("q") == i, F.col("x"))).alias(_name(p)) for i, p in enumerate(probs)))
+    ranked = counted.withColumn("upto", F.sum("n").over(running)).join(
+        F.broadcast(stats.select("column", "count")), "column"
     )
-    return stats.join(quantiles, "column", "left").select(
-        "column", "count", "mean", "std", "min", *(_name(p) for p in probs), "max"
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("upto") > rank, F.col("v")))
+
+    def quantile(p: float) -> Column:
+        rank = (F.col("count") - 1) * F.lit(float(p))
+        low, high, part = at(F.floor(rank)), at(F.ceil(rank)), F.max(rank - F.floor(rank))
+        return low + (high - low) * part
+
+    quantiles = ranked.groupBy("column").agg(*(quantile(p).alias(name) for p, name in zip(probs, names)))
+    return stats.join(F.broadcast(quantiles), "column", "left").select(
+        "column", "count", "mean", "std", "min", *names, "max"
     )
 
 

@@ -53,8 +53,8 @@ def build_catalogue(
     """All years in one job: list pages and title pages to the merged table.
 
     Title pages that no listing links to are left out before they are
-    parsed. The listing is used twice, so it is stored first; ``store=False``
-    leaves everything lazy.
+    parsed. The listing is used more than once, so it is stored first, unless
+    ``store`` is False.
     """
     listing = extract_listing(list_pages, base_url)
     if store:

@@ -94,7 +94,16 @@ def test_restrict_pages_with_hot_urls(spark, hot_rows):
     ).repartition(7)
     listing = spark.createDataFrame([("hot",), ("u1",), ("u1",), (None,), ("none",)], "`Movie Link` string")
     expected = sorted(((u, n) for u, n in pages.collect() if u in ("hot", "u1")), key=repr)
-    assert rows(op.restrict_pages(pages, listing, hot_rows=hot_rows)) == expected
+    for limit in (0, 10**6):
+        kept = op.restrict_pages(pages, listing, max_broadcast=limit, hot_rows=hot_rows)
+        assert rows(kept) == expected
+
+
+def test_few_links_move_no_page(spark):
+    pages = spark.range(10).select(F.col("id").cast("string").alias("url"))
+    listing = spark.createDataFrame([("1",)], "`Movie Link` string")
+    text = plan(op.restrict_pages(pages, listing))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
 def test_hot_rows_are_spread(spark):
@@ -103,7 +112,7 @@ def test_hot_rows_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        kept = op.restrict_pages(pages, listing, hot_rows=100)
+        kept = op.restrict_pages(pages, listing, max_broadcast=0, hot_rows=100)
         sizes = kept.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

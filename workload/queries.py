@@ -261,7 +261,7 @@ def pages_semi_listing_hot(spark, sf):
     """The same with every repeated key treated as hot."""
     pages = table(spark, sf, "orders").withColumnRenamed("o_custkey", "url")
     listing = table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("Movie Link"))
-    kept = op.restrict_pages(pages, listing, hot_rows=2)
+    kept = op.restrict_pages(pages, listing, max_broadcast=0, hot_rows=2)
     return kept.select("o_orderkey", F.col("url").alias("o_custkey"))
 
 
