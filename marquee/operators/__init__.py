@@ -2,7 +2,7 @@
 
 from marquee.operators.aggregate import (
     count_distinct, distinct_values, extraction_counts, final_summary, group_sizes,
-    missing_critical, missing_stats, null_counts, null_rows, value_counts,
+    missing_critical, missing_stats, null_counts, null_rows, observe_rows, value_counts,
 )
 from marquee.operators.columns import (
     absent_columns, lead_columns, narrow_ints, rename_columns, swap_where, unexpected_columns,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,5 +107,14 @@ def extraction_counts(df: DataFrame, by: str = "src_year") -> DataFrame:
     )
 
 
+def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Count the rows as they pass, in whatever job runs first; no job of its own.
+
+    ``observation.get["rows"]`` holds the count once that job is done.
+    """
+    observation = Observation(name)
+    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+
+
 def is_numeric(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType)

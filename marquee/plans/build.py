@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import absolute_url, before, clean_money, strip_parens, trim_ws
+from marquee.operators.aggregate import observe_rows
 from marquee.operators.html import extract_items, extract_record
 from marquee.operators.joins import merge_details, restrict_pages
 from marquee.plans.schemas import (
     DETAIL_FIELDS, LIST_CONTAINER, LIST_ITEM, LISTING_FIELDS, MONEY,
 )
-from marquee.sinks import stage, write_csv, write_yearly
+from marquee.sinks import stage, write_csv
 
 
 def _ids(pages: DataFrame, *names: str) -> list[str]:
@@ -67,13 +68,23 @@ def build_catalogue(
     return Built(listing, details, merged)
 
 
-def write_built(built: Built, out: str) -> None:
-    """Listing, details and merged rows as CSV, one folder per year each."""
-    details = stage(built.details)  # parsed once for both tables
+def write_built(built: Built, out: str) -> dict[str, int]:
+    """Listing, details and merged rows as CSV, one folder per year each.
+
+    Returns the rows written to ``basic``, ``advanced`` and ``merged``.
+    """
+    details = stage(built.details).drop("_errors")  # parsed once for both tables
     listing = built.listing.drop("_errors", "_item", "page_id")
     per_year = "src_year" in details.columns
-    merged = merge_details(listing, details.drop("_errors"), per_year=per_year)
-    root = out.rstrip("/")
-    write_yearly(listing, f"{root}/basic")
-    write_csv(details.drop("_errors"), f"{root}/advanced", ("src_year",) if per_year else ())
-    write_yearly(merged, f"{root}/merged")
+    tables = {
+        "basic": listing,
+        "advanced": details,
+        "merged": merge_details(listing, details, per_year=per_year),
+    }
+    rows = {}
+    for name, df in tables.items():
+        counted, observation = observe_rows(df, name)
+        folders = ("src_year",) if "src_year" in df.columns else ()
+        write_csv(counted, f"{out.rstrip('/')}/{name}", folders)
+        rows[name] = observation.get["rows"]
+    return rows

@@ -15,7 +15,7 @@ from marquee.functions.dates import date_of, first_of_year, year_of
 from marquee.functions.lists import list_or_null
 from marquee.functions.numbers import clip, cut_to_int, decimal_or_null
 from marquee.functions.text import token_to_null, unranked, without_query
-from marquee.operators.aggregate import missing_stats
+from marquee.operators.aggregate import missing_stats, observe_rows
 from marquee.operators.columns import (
     absent_columns, lead_columns, rename_columns, unexpected_columns,
 )
@@ -130,11 +130,13 @@ def curate(cleaned: DataFrame, order: Sequence[str] = BOOKKEEPING) -> Curated:
 
 
 class CatalogueRun(NamedTuple):
-    """What was written, and the reports."""
+    """What was written, the reports, and the rows read and kept."""
 
     written: list[str]
     has_duplicates: bool
     reports: Curated
+    rows_read: int
+    rows_kept: int | None
 
 
 def run_catalogue(
@@ -145,11 +147,13 @@ def run_catalogue(
     Files are parsed and cleaned once, into a stored table that feeds the
     reports and the catalogue.
     """
-    cleaned = stage(clean_catalogue(read_years(spark, root)))
-    result = curate(cleaned)
+    raw, read = observe_rows(clean_catalogue(read_years(spark, root)), "read")
+    result = curate(stage(raw))
     found = write_duplicates(result.duplicates, f"{out.rstrip('/')}/duplicates.csv")
-    written = write_outputs(result.catalogue, out, formats)
-    return CatalogueRun(written, found, result)
+    kept, count = observe_rows(result.catalogue, "kept")
+    written = write_outputs(kept, out, formats)
+    rows_kept = count.get["rows"] if written else None
+    return CatalogueRun(written, found, result, read.get["rows"], rows_kept)
 
 
 def top_grossing(df: DataFrame, group: str = "src_year", gross: str = "gross_us_canada", n: int = 600) -> DataFrame:

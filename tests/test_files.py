@@ -118,6 +118,7 @@ def test_awards_and_lists(spark):
 def test_whole_run(spark, years, tmp_path):
     out = str(tmp_path / "out")
     run = run_catalogue(spark, str(years), out)
+    assert (run.rows_read, run.rows_kept) == (5, 4)
     assert run.has_duplicates and [p.rsplit(".", 1)[1] for p in run.written] == ["parquet", "csv", "arrow"]
     frames = [
         spark.read.parquet(f"{out}/final_dataset.parquet"),

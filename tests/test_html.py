@@ -1,7 +1,8 @@
 """Extraction rules on small and on broken pages."""
 
 from marquee.operators import Field, extract_items, extract_record, extraction_counts
-from marquee.plans import build_catalogue, extract_details, extract_listing
+from marquee.plans import build_catalogue, clean_catalogue, extract_details, extract_listing, write_built
+from marquee.sources import read_csv_files
 
 ENTRY = "ipc-metadata-list-item__list-content-item"
 
@@ -146,3 +147,23 @@ def test_build(spark):
     merged = built.merged.collect()
     assert [(r["Title"], r["countries_origin"]) for r in merged] == [("1. T1", ["US"])] * 2
     assert len(built.merged.columns) == 24  # 9 listing + 14 details + src_year
+
+
+def test_built_tables_are_written_by_year(spark, tmp_path):
+    def listing(year, *numbers):
+        return (year, year, f'<ul class="ipc-metadata-list">{"".join(item(n) for n in numbers)}</ul>')
+
+    lists = spark.createDataFrame([listing(1999, 1, 2), listing(2000, 1)], "page_id int, src_year int, html string")
+    titles = spark.createDataFrame(
+        [(year, f"https://h/title/tt{n}/?ref=1", f'<li data-testid="title-details-origin">{links("O\'B", "US")}</li>')
+         for year, n in ((1999, 1), (1999, 2), (2000, 1), (2000, 7))],
+        "src_year int, url string, html string",
+    )
+    rows = write_built(build_catalogue(lists, titles, "https://h"), str(tmp_path))
+    assert rows == {"basic": 3, "advanced": 3, "merged": 3}
+    found = read_csv_files(spark, [str(p) for p in sorted(tmp_path.glob("merged/*/part-*.csv"))])
+    assert {(r["src_year"], r["Title"], r["countries_origin"]) for r in found.collect()} == {
+        (y, t, '["O\'B", \'US\']') for y, t in ((1999, "1. T1"), (1999, "2. T2"), (2000, "1. T1"))
+    }
+    cleaned = clean_catalogue(found)
+    assert {r["id"] for r in cleaned.select("id").collect()} == {"tt1", "tt2"}
