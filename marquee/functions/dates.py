@@ -33,11 +33,21 @@ DATE_FORMATS: Sequence[tuple[str, str]] = (
 )
 
 
+# A text is only tried with the patterns that share its first separator.
+SEPARATORS = (" ", "/", "-")
+
+
 def date_of(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
     """Trimmed date text to DATE by the first format that fits."""
-    return F.coalesce(
-        *(F.when(text.rlike(shape), F.try_to_date(text, fmt)) for shape, fmt in formats)
-    )
+    tried: dict[str, list[Column]] = {sep: [] for sep in (*SEPARATORS, "")}
+    for shape, pattern in formats:
+        sep = next((s for s in SEPARATORS if s in pattern), "")
+        tried[sep].append(F.when(text.rlike(shape), F.try_to_date(text, pattern)))
+    first = {sep: F.coalesce(*found, F.lit(None).cast("date")) for sep, found in tried.items()}
+    date = F.when(text.contains(SEPARATORS[0]), first[SEPARATORS[0]])
+    for sep in SEPARATORS[1:]:
+        date = date.when(text.contains(sep), first[sep])
+    return date.otherwise(first[""])
 
 
 def parse_release_date(c: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
@@ -47,7 +57,8 @@ def parse_release_date(c: Column, formats: Sequence[tuple[str, str]] = DATE_FORM
 
 def year_of(text: Column, lenient: bool = False) -> Column:
     """Trimmed whole-number text to INT; ``lenient`` also takes ``1999.0``."""
-    return (F.regexp_replace(text, r"\.0*\z", "") if lenient else text).try_cast("int")
+    shape = r"^[+-]?\d+(\.0*)?\z" if lenient else r"^[+-]?\d+\z"
+    return F.when(text.rlike(shape), F.substring_index(text, ".", 1).try_cast("int"))
 
 
 def first_of_year(year: Column) -> Column:

@@ -99,7 +99,7 @@ def clean_money(c: Column) -> Column:
 def money_amount(c: Column) -> Column:
     """Amount in money text as DECIMAL(20,2); NULL when no number is found."""
     digits = F.regexp_extract(F.translate(clean_money(c), ",", ""), r"\d+(?:\.\d+)?", 0)
-    return digits.try_cast("decimal(20,2)")
+    return F.when(digits != "", digits.try_cast("decimal(20,2)"))
 
 
 def strip_parens(c: Column) -> Column:
