@@ -73,7 +73,7 @@ def session():
 
 if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     spark, connection, bad = session(), connect(sf), 0
     for name in names:
         start = time.time()
