@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from marquee.llm.common import table
 from marquee.llm.exact_dedup import exact_groups
 from marquee.llm.simhash import near_groups
+from marquee.llm.toxicity import toxicity
+from marquee.llm.urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +22,29 @@ def query(f: Query) -> Query:
     return f
 
 
+#: The rules that are asked for.
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+    ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+@query
+def op1_toxicity(spark, sf):
+    rows = toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    worst = F.array_max(F.transform("offending", lambda s: F.struct(s["score"], -s["start"], s["end"])))
+    return rows.select(
+        "doc_id", "held_out", "score", "predicted", "n_sentences", F.size("offending").alias("n_offending"),
+        (-worst["col2"]).alias("worst_start"), worst["end"].alias("worst_end"),
+    )
+
+
+@query
+def op2_url_filters(spark, sf):
+    rows = judge_urls(table(spark, sf, "pages"), URL_RULES)
+    return rows.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "block_score")
+
+
 @query
 def op3_exact_dedup(spark, sf):
     rows = exact_groups(table(spark, sf, "documents"))
