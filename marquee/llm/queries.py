@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marquee.llm.common import table
 from marquee.llm.exact_dedup import exact_groups
 from marquee.llm.simhash import near_groups
+from marquee.llm.token_counts import count_tokens
 from marquee.llm.toxicity import toxicity
 from marquee.llm.urls import judge_urls
 
@@ -22,6 +23,12 @@ def query(f: Query) -> Query:
     return f
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 #: The rules that are asked for.
 URL_RULES = [
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -53,6 +60,12 @@ def op3_exact_dedup(spark, sf):
     )
 
 
+@query
+def op6_token_counts(spark, sf, tokenizer=None):
+    rows = count_tokens(table(spark, sf, "documents"), tokenizer or vocabulary("byte_bpe_50k.json"))
+    return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 @query
 def op8_simhash(spark, sf):
     rows = near_groups(table(spark, sf, "documents"))
