@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import table
 from marquee.llm.exact_dedup import exact_groups
+from marquee.llm.packing import pack_documents
 from marquee.llm.simhash import near_groups
 from marquee.llm.token_counts import count_tokens
+from marquee.llm.token_files import checksums, new_folder, read_tokens, write_tokens
 from marquee.llm.toxicity import toxicity
 from marquee.llm.urls import judge_urls
 
@@ -66,6 +68,11 @@ def op6_token_counts(spark, sf, tokenizer=None):
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+@query
+def op7_packing(spark, sf):
+    return pack_documents(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query
 def op8_simhash(spark, sf):
     rows = near_groups(table(spark, sf, "documents"))
@@ -74,6 +81,14 @@ def op8_simhash(spark, sf):
     )
 
 
+@query
+def op9_token_files(spark, sf):
+    docs = table(spark, sf, "documents")
+    path = new_folder(docs)
+    write_tokens(docs, vocabulary("word_bpe_49k.json"), path)
+    return checksums(read_tokens(spark, path))
+
+
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": r"""
         WITH t AS (
