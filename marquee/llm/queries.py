@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import table
 from marquee.llm.exact_dedup import exact_groups
+from marquee.llm.mixing import mix
 from marquee.llm.packing import pack_documents
+from marquee.llm.perplexity import judge_quality
 from marquee.llm.simhash import near_groups
 from marquee.llm.token_counts import count_tokens
 from marquee.llm.token_files import checksums, new_folder, read_tokens, write_tokens
@@ -62,6 +64,21 @@ def op3_exact_dedup(spark, sf):
     )
 
 
+@query
+def op4_quality_rules(spark, sf):
+    return judge_quality(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "log_perplexity", F.col("lower").alias("lower_band"), F.col("upper").alias("upper_band"),
+    )
+
+
+@query
+def op5_mixing(spark, sf):
+    return mix(table(spark, sf, "documents")).select(
+        F.col("id").alias("doc_id"), "source", "block", "slot", "position"
+    )
+
+
 @query
 def op6_token_counts(spark, sf, tokenizer=None):
     rows = count_tokens(table(spark, sf, "documents"), tokenizer or vocabulary("byte_bpe_50k.json"))
