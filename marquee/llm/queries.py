@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import table
 from marquee.llm.exact_dedup import exact_groups
+from marquee.llm.language import identify, records
+from marquee.llm.language import train as train_language
 from marquee.llm.mixing import mix
 from marquee.llm.packing import pack_documents
 from marquee.llm.perplexity import judge_quality
@@ -98,6 +100,16 @@ def op8_simhash(spark, sf):
     )
 
 
+@query
+def op10_language(spark, sf):
+    documents = table(spark, sf, "documents")
+    langs, model = train_language(documents)
+    rows = identify(records(documents, table(spark, sf, "pages")), langs, model)
+    return rows.select(
+        "kind", "doc_id", "page_id", "host", "suffix", "declared", "text_lang", "language", "confidence", "kept"
+    )
+
+
 @query
 def op9_token_files(spark, sf):
     docs = table(spark, sf, "documents")
