@@ -14,6 +14,7 @@ import json
 import os
 import re
 import sys
+from array import array
 
 import numpy as np
 from pyspark import cloudpickle
@@ -21,11 +22,12 @@ from pyspark.sql import SparkSession
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Words that a worker process remembers.
-MEMO = 600_000
+#: Words that a worker process remembers, twice: those seen lately and those before.
+MEMO = 300_000
 #: White space by Unicode, as the body of a character class.
 BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-MARKS = ".,!?;:"
+#: What may follow a word and is cut from it as one piece: ASCII marks but the apostrophe.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,6 +47,8 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.model = self.tokenizer.model
+        self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         added = [t["content"] for t in json.loads(spec)["added_tokens"]]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.words = re.compile(f"[^{BLANKS}]+").findall
@@ -54,30 +58,42 @@ class WordIds(dict):
             want = self.packed(probe)
             if b"".join(map(self.packed, self.split(probe))) != want:
                 raise ValueError("the tokenizer must drop white space and cut at it")
-        self.short = all(self._latin(w) == self.packed(w) for w in ("ab", "Ça", "ßÜ,", "an?!", "...", "µºx:"))
+        letters = "".join(map(chr, range(256)))
+        self.short = (
+            sys.byteorder == "little" and array("I").itemsize == 4
+            and all(self._latin(w) == self.packed(w) for w in ("ab", "Ça", "ßÜ,", "an?!", "µºx:", "a-_|"))
+            and all(self.packed(c) == self.packed(c.lower()) for c in letters)
+        )
 
     def packed(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _latin(self, word: str) -> bytes | None:
-        """Ids of lower-cased Latin-1 letters followed by marks, else None."""
-        if not word.isascii() and max(word) > "\xff":
+        """Ids of Latin-1 letters followed by marks, else None."""
+        plain = word.isascii()
+        if not plain and max(word) > "\xff":
             return None
         low = word.lower()
         core = low.rstrip(MARKS)
-        if not (core.isalpha() or not core):
+        if not core.isalpha():
             return None
-        ids = self.get(core) if core else b""
+        ids = self.get(core) or self.old.get(core)
         if ids is None:
-            shown = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+            shown = core if plain else core.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
             if len(core) < 64:
                 self[core] = ids
+        if len(core) == len(low):
+            return ids
         tail = low[len(core):]
-        return ids + self.packed(tail) if tail not in self and tail else ids + (self[tail] if tail else b"")
+        if len(tail) > 8 or len(self.tails) > 10_000:
+            return ids + self.packed(tail)
+        return ids + (self.tails.get(tail) or self.tails.setdefault(tail, self.packed(tail)))
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._latin(word) if self.short else None
+        ids = self.old.get(word)
+        if ids is None and self.short:
+            ids = self._latin(word)
         if ids is None:
             ids = self.packed(word)
         if len(word) < 64:
@@ -97,7 +113,15 @@ class WordIds(dict):
         if self.added is not None and self.added.search(text):
             return self.packed(text)
         if len(self) > MEMO:
+            self.old = dict(self)  # words that are still in use come back from here
             self.clear()
+        if self.short:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                pass
+            else:
+                text = text.lower()  # as the tokenizer does; of these letters Python and the library think alike
         return b"".join(map(self.__getitem__, self.split(text)))
 
 
