@@ -116,6 +116,7 @@ def text_evidence(rows: DataFrame, langs: list[str], table: np.ndarray, settings
                 t if t is not None else unescape(NO_TEXT.sub(" ", h or ""))
                 for t, h in zip(batch.column("text").to_pylist(), batch.column("html").to_pylist(), strict=True)
             ]
+            texts = [t if t.strip() else "" for t in texts]  # blanks are no evidence
             codes, starts = codes_of(texts, symbols)
             n = np.diff(starts)
             logs = np.zeros((len(texts), len(table)))
@@ -191,6 +192,6 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray, settings: Set
     sums = F.aggregate("scores", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     names = F.array(*map(F.lit, langs))
     return out.select(
-        *KEYS, names[F.col("by_text")].alias("text_lang"),
-        names[F.array_position("scores", F.col("top")).cast("int") - 1].alias("language"), (1 / sums).alias("confidence"),
+        *KEYS, F.get(names, F.col("by_text")).alias("text_lang"),
+        F.get(names, F.array_position("scores", F.col("top")).cast("int") - 1).alias("language"), (1 / sums).alias("confidence"),
     ).withColumn("kept", F.col("confidence") >= settings.sure)

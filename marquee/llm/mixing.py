@@ -36,6 +36,10 @@ from pyspark.sql import functions as F
 from marquee.llm.common import ROW, numbered, sized, stage
 
 
+#: Name of the place while rows are put in order; no input column may have it.
+PLACE = "_llm_place"
+
+
 @dataclass(frozen=True)
 class Settings:
     """blocks: about as many blocks as the schedule has; seed: of the order within sources."""
@@ -147,5 +151,5 @@ def mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = No
 
     ``docs`` is read twice and must come from files (see ``numbered``).
     """
-    places = stage(mix(docs, weights, settings).select(ROW, "position"))
-    return numbered(docs).join(sized(places, 24), ROW).orderBy("position").drop(ROW, "position")
+    places = stage(mix(docs, weights, settings).select(ROW, F.col("position").alias(PLACE)))
+    return numbered(docs).join(sized(places, 24), ROW).orderBy(PLACE).drop(ROW, PLACE)

@@ -59,12 +59,14 @@ SCORED = T.StructType([
 class Settings:
     """per_label: most documents of each label that are learned from; learned_chars: longest text learned from;
     bias: where the sentence bias starts, low enough for texts of many sentences;
-    lasso: evidence below so many toxic documents counts as noise."""
+    lasso: evidence below so many toxic documents counts as noise;
+    settled: step after which features without weight are left out."""
 
     per_label: int = 2_000
     learned_chars: int = 200_000
     least_docs: int = 3
-    steps: int = 80
+    steps: int = 240
+    settled: int = 40
     rate: float = 0.8
     lasso: float = 0.05
     bias: float = -11.0
@@ -154,7 +156,13 @@ def fit(learned: pa.Table, settings: Settings) -> np.ndarray | None:
     past, past_bias = np.full(len(names), 1e-8), 1e-8
     lasso = settings.lasso / (y == 1).sum()
     share = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
-    for _ in range(settings.steps):
+    for step in range(settings.steps):
+        if step == settings.settled:  # what has no weight by now is noise; go on with the rest
+            alive = w != 0
+            renumbered = np.cumsum(alive) - 1
+            use = alive[at]
+            at, sent_of = renumbered[at[use]], sent_of[use]
+            names, w, past = names[alive], w[alive], past[alive]
         z = bias + np.bincount(sent_of, w[at], minlength=len(n_words))
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         none = np.exp(np.bincount(doc_of, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(keep)))
