@@ -27,7 +27,7 @@ SF, MORE = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 
 def toxic_frame(spark, path, n=200):
     rows, labels = [], []
-    for i in range(n):
+    for i in range(1000, 1000 + n):
         bad = i % 4 == 0
         rows.append((i, f"Plain words number {i}. They say little more. " + ("You grubnik there! " if bad else "You friend there! ") + "The end.", "en", "s"))
         labels.append((i, int(bad)))
@@ -47,7 +47,7 @@ def test_toxicity_finds_sentences(spark, tmp_path):
         if i is not None and "grubnik" in (text[i] or ""):
             (span,) = r["offending"]
             assert "grubnik" in text[i][span["start"]:span["end"]] and r["predicted"] == 1
-        elif i not in range(1, 7):
+        elif i is None or i >= 1000:
             assert not r["offending"] and r["predicted"] == 0
     left = drop_toxic(docs, labels)
     assert left.columns == docs.columns
