@@ -12,7 +12,7 @@ from marquee.functions.text import trim_ws
 _WORD = r"[A-Za-z]{4,}"
 _ABBR = r"[A-Za-z]{3}"
 
-# (shape of the text, datetime pattern), in order of preference. The shape
+# Fixed values: (shape of the text, datetime pattern), in order of preference. The shape
 # check keeps the date parser away from text it would have to reject, which
 # costs an exception per row. Parts that are absent default to 1.
 DATE_FORMATS: Sequence[tuple[str, str]] = (
@@ -30,19 +30,42 @@ DATE_FORMATS: Sequence[tuple[str, str]] = (
     (r"^\d{1,2}/\d{1,2}/\d{4}\z", "d/M/yyyy"),
     (r"^\d{1,2}-\d{1,2}-\d{4}\z", "M-d-yyyy"),
     (r"^\d{4}/\d{1,2}/\d{1,2}\z", "yyyy/M/d"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{2}:\d{2}:\d{2}\z", "yyyy-M-d HH:mm:ss"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{2}:\d{2}:\d{2}\z", "yyyy-M-d'T'HH:mm:ss"),
+    (rf"^{_WORD} \d{{1,2}} \d{{4}}\z", "MMMM d yyyy"),
+    (rf"^{_ABBR} \d{{1,2}} \d{{4}}\z", "MMM d yyyy"),
+    (rf"^\d{{1,2}}-{_ABBR}-\d{{4}}\z", "d-MMM-yyyy"),
+    (rf"^\d{{1,2}}-{_WORD}-\d{{4}}\z", "d-MMMM-yyyy"),
+    (r"^\d{4}-\d{1,2}\z", "yyyy-M"),
+    (r"^\d{8}\z", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}\z", "M/d/yy"),
+    (r"^\d{4}\.\d{1,2}\.\d{1,2}\z", "yyyy.M.d"),
 )
 
+# What is written otherwise but means the same: an ordinal's ending, the dot of a
+# short month, and "Sept".
+_ORDINAL = r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b"
+_DOTTED = r"(?i)\b([a-z]{3})(?:t\b)?\.? (?=\d)"
+
 
 # A text is only tried with the patterns that share its first separator.
-SEPARATORS = (" ", "/", "-")
+SEPARATORS = (" ", "/", "-", ".")
 
 
 def date_of(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
-    """Trimmed date text to DATE by the first format that fits."""
+    """Trimmed date text to DATE by the first format that fits.
+
+    Years of two digits lie less than 50 years ahead.
+    """
+    odd = text.rlike(r"(?i)[a-z]\. \d|\bsept \d|\d(?:st|nd|rd|th)\b")
+    text = F.when(odd, F.regexp_replace(F.regexp_replace(text, _ORDINAL, "$1"), _DOTTED, "$1 ")).otherwise(text)
     tried: dict[str, list[Column]] = {sep: [] for sep in (*SEPARATORS, "")}
     for shape, pattern in formats:
         sep = next((s for s in SEPARATORS if s in pattern), "")
-        tried[sep].append(F.when(text.rlike(shape), F.try_to_date(text, pattern)))
+        date = F.try_to_date(text, pattern)
+        if "yyyy" not in pattern:
+            date = F.when(F.year(date) >= F.year(F.current_date()) + 50, F.add_months(date, -1200)).otherwise(date)
+        tried[sep].append(F.when(text.rlike(shape), date))
     first = {sep: F.coalesce(*found, F.lit(None).cast("date")) for sep, found in tried.items()}
     date = F.when(text.contains(SEPARATORS[0]), first[SEPARATORS[0]])
     for sep in SEPARATORS[1:]:

@@ -12,7 +12,7 @@ from marquee.functions.text import norm_text, trim_ws
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 INTEGER = r"^[+-]?\d+\z"
 
-# Full-match duration shapes on trimmed lower-case text:
+# Fixed values. Full-match duration shapes on trimmed lower-case text:
 # "1h 30m"/"30m", "90 min"/"45 minutes", "2 hours"/"2h", "1:15", "90".
 DURATION = (
     r"(?U)^(?:(?:(\d+)\s*h)?\s*(\d+)\s*m"
@@ -55,9 +55,33 @@ def parse_score(c: Column) -> Column:
     return clip(cut_to_int(trim_ws(c.cast("string"))), 0, 100)
 
 
+def is_decimal_type(c: Column) -> Column:
+    """Whether the column is of a fractional type; constant, so Spark plans one branch only."""
+    return F.typeof(c).isin("float", "double") | F.typeof(c).startswith("decimal")
+
+
+def is_number_type(c: Column) -> Column:
+    return is_decimal_type(c) | F.typeof(c).isin("tinyint", "smallint", "int", "bigint")
+
+
+def whole(c: Column) -> Column:
+    """A number column to BIGINT; fractions are cut. NULL for NaN and what does not fit."""
+    return c.try_cast("bigint")
+
+
 def to_number(c: Column, strict: bool = True) -> Column:
-    """Text to INT. ``strict`` fails the job on bad text, else it gives NULL."""
-    return c.cast("int") if strict else c.try_cast("int")
+    """Number text such as ``1999`` or ``1999.0`` to INT.
+
+    ``strict`` fails the job on other text and on fractions, else they give
+    NULL.
+    """
+    text = trim_ws(c.cast("string"))
+    value = decimal_or_null(text)
+    number = F.when(value == F.floor(value), value.try_cast("int"))
+    if not strict:
+        return number
+    message = F.concat(F.lit("no whole number: "), text)
+    return F.when(c.isNotNull() & number.isNull(), F.raise_error(message).cast("int")).otherwise(number)
 
 
 def is_duration(c: Column) -> Column:
@@ -85,9 +109,14 @@ def minutes_of(text: Column, parts: Column) -> Column:
 
 
 def duration_minutes(c: Column) -> Column:
-    """Duration text to whole minutes as BIGINT; -1 if missing or unknown."""
+    """Duration to whole minutes as BIGINT; -1 if missing or unknown.
+
+    Numbers are cut, text is read by its shape.
+    """
     text = norm_text(c.cast("string"))
-    return minutes_of(text, hours_minutes(text))
+    return F.when(is_number_type(c), F.coalesce(whole(c), F.lit(MISSING))).otherwise(
+        minutes_of(text, hours_minutes(text))
+    )
 
 
 def duration_ok(minutes: Column) -> Column:
@@ -109,8 +138,8 @@ def votes_of(text: Column) -> Column:
 
 
 def parse_votes(c: Column) -> Column:
-    """Vote text such as ``1.2K`` or ``3M`` to BIGINT; -1 if missing or unknown."""
-    return votes_of(norm_text(c.cast("string")))
+    """Votes, as numbers or as text such as ``1.2K`` or ``3M``, to BIGINT; -1 if missing or unknown."""
+    return F.when(is_number_type(c), F.coalesce(whole(c), F.lit(MISSING))).otherwise(votes_of(norm_text(c.cast("string"))))
 
 
 def rating_code(c: Column) -> Column:

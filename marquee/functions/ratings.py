@@ -45,8 +45,10 @@ def map_values(c: Column, mapping: Mapping, default) -> Column:
 
 def group_of(text: Column) -> Column:
     """Trimmed lower-case rating code to its group."""
-    code_to_group = {code: group for group, codes in RATING_GROUPS.items() for code in codes}
-    return map_values(text, code_to_group, UNRATED)
+    group = F.when(F.lit(False), F.lit(UNRATED))
+    for name, codes in RATING_GROUPS.items():
+        group = group.when(text.isin(*codes), F.lit(name))
+    return group.otherwise(UNRATED)
 
 
 def rating_group(c: Column) -> Column:

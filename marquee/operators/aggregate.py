@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Columns of the missing-value report, and those that must not be missing.
+# Columns of the missing-value report, and those that must not be missing.
 REPORTED = ("id", "title", "rating", "méta_score", "release_date")
 CRITICAL = ("id", "title")
 

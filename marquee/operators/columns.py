@@ -88,9 +88,9 @@ def union_relaxed(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, [aligned(df) for df in dfs])
 
 
-# INT rather than SMALLINT for durations and BIGINT for votes: films longer
-# than 32,767 minutes exist, and a vote text may exceed the INT range.
-FIXED_TYPES = {"year": "smallint", "duration": "int", "votes": "bigint", "meta_score": "tinyint"}
+# Types that hold every value which the parsers of these columns can give, so
+# the casts cannot fail. ``fit`` finds narrower ones.
+FIXED_TYPES = {"year": "int", "duration": "bigint", "votes": "bigint", "meta_score": "bigint"}
 
 
 def narrow_ints(

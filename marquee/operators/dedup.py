@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from marquee.operators.joins import HOT_ROWS, semi_join_spread
 
-# Parts that each group is ranked in before the final ranking.
-RANK_PARTS = 64
-
 
 def keep_last(
     df: DataFrame,
@@ -43,10 +40,13 @@ def duplicate_titles(
 
     The long form of the report, for keys with too many titles for one cell.
     """
-    sizes = df.filter(F.col(f"`{key}`").isNotNull()).groupBy(f"`{key}`").count()
-    pairs = df.select(f"`{key}`", f"`{show}`").dropna().distinct()
-    counts = pairs.groupBy(f"`{key}`").count()
-    return semi_join_spread(pairs, counts, sizes.filter("count > 1"), key, hot_rows=hot_rows)
+    from marquee.sinks.staging import stage
+
+    k, s = f"`{key}`", f"`{show}`"
+    pairs = stage(df.filter(F.col(k).isNotNull()).groupBy(k, s).agg(F.count(F.lit(1)).alias("_rows")))
+    keys = stage(pairs.groupBy(k).agg(F.count(s).alias("count"), F.sum("_rows").alias("_rows")))
+    titles = pairs.filter(F.col(s).isNotNull()).select(k, s)
+    return semi_join_spread(titles, keys, keys.filter("_rows > 1"), key, hot_rows=hot_rows)
 
 
 def duplicate_report(df: DataFrame, key: str = "id", show: str = "title") -> DataFrame:
@@ -76,7 +76,9 @@ def all_duplicates(df: DataFrame, c: str, hot_rows: int = HOT_ROWS) -> DataFrame
     Counts are combined before the shuffle and joined back, rather than
     counted in a window, which would hold a hot value in one task.
     """
-    counts = df.groupBy(f"`{c}`").count()
+    from marquee.sinks.staging import stage
+
+    counts = stage(df.groupBy(f"`{c}`").count())
     return semi_join_spread(df, counts, counts.filter("count > 1"), c, hot_rows=hot_rows)
 
 
@@ -85,13 +87,17 @@ def top_per_group(
     group: str | Sequence[str],
     order: Sequence[Column],
     n: int = 600,
-    parts: int = RANK_PARTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """The first ``n`` rows per group in the given order.
 
     Ranks within parts of each group first, then among the at most
-    ``n * parts`` rows that are left, so no group is sorted by one task.
+    ``n * parts`` rows that are left, so no group is sorted by one task. There
+    are as many parts as shuffle partitions by default, so they grow with the
+    job.
     """
+    if parts is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = [group] if isinstance(group, str) else list(group)
 
     def ranked(rows: DataFrame, by: list[str]) -> DataFrame:

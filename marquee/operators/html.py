@@ -289,20 +289,21 @@ def _extract(
     )
     keep_failed = on_error == "keep"
 
-    def rows_of(html_text: str | None, reader: _Reader) -> Iterator[tuple]:
-        try:
-            page = _Page(html_text)
-        except Exception as e:  # a page that cannot be parsed is one failed row
-            yield (-1, [list(f.default) if isinstance(f.default, tuple) else f.default for f in fields],
-                   [f"page: {e}"], True)
-            return
+    def read(html_text: str | None, reader: _Reader) -> list[tuple]:
+        page = _Page(html_text)
         if item is None:
-            yield (0, *reader.row(page, 0))
-            return
+            return [(0, *reader.row(page, 0))]
         root = reader.nth(page, 0, container, 0) if container else 0
-        if root is not None:
-            for n, i in enumerate(reader.matches(page, root, item)):
-                yield (n, *reader.row(page, i))
+        if root is None:
+            return []
+        return [(n, *reader.row(page, i)) for n, i in enumerate(reader.matches(page, root, item))]
+
+    def rows_of(html_text: str | None, reader: _Reader) -> list[tuple]:
+        try:
+            return read(html_text, reader)
+        except Exception as e:  # whatever a page does, it is one failed row and not a failed job
+            defaults = [list(f.default) if isinstance(f.default, tuple) else f.default for f in fields]
+            return [(-1, defaults, [f"page: {e}"], True)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(fields)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 # A key is hot from this many rows on: below it one task copes.
 HOT_ROWS = 1_000_000
-# At most this many keys are spread, so the set that is broadcast is bounded.
-# A key outside the n most frequent ones has at most 1/n of the rows.
-HOT_KEYS = 1_000
+# Nor is it hot with less than this part of all rows. So there are at most this
+# many hot keys, all of them are spread, and the broadcast set is bounded.
+HOT_KEYS = 100_000
 # Links are broadcast up to this size in all.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -65,10 +65,9 @@ def semi_join_spread(
     k = f"`{key}`"
     if parts is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum("count")).first()[0] or 0
     hot = F.broadcast(
-        counts.filter(F.col("count") >= hot_rows)
-        .orderBy(F.desc("count"), F.col(k))
-        .limit(HOT_KEYS)
+        counts.filter(F.col("count") >= max(hot_rows, total // HOT_KEYS))
         .select(F.col(k).alias("_hot_key"), F.lit(True).alias("_hot"))
     )
 
@@ -93,19 +92,25 @@ def restrict_pages(
     max_broadcast: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Pages whose URL is a link of the listing. Run it before extraction.
+    """Pages whose URL is a link of the listing, of the same ``src_year`` if both have one. Run it before extraction.
 
     The size of the distinct links is measured first, by a job over the
     listing. Up to ``max_broadcast`` bytes they are broadcast and no page
     moves. Above that pages are shuffled once, with hot URLs spread.
     """
     present = pages.filter(F.col(f"`{url}`").isNotNull())
-    links = listing.select(F.col(f"`{on}`").alias(url)).filter(F.col(url).isNotNull()).distinct()
-    size = links.agg(F.sum(F.octet_length(F.col(url).cast("string")) + 32)).first()[0] or 0
+    year = ["src_year"] if "src_year" in pages.columns and "src_year" in listing.columns else []
+    links = listing.select(*year, F.col(f"`{on}`").alias(url)).filter(F.col(url).isNotNull()).distinct()
+    size = links.agg(F.sum(F.octet_length(F.col(url).cast("string")) + 40)).first()[0] or 0
+    same = present[url] == links[url]
+    for c in year:
+        same &= present[c].eqNullSafe(links[c])
     if size <= max_broadcast:
-        return present.join(F.broadcast(links), url, "left_semi")
-    counts = present.groupBy(url).count()
-    return semi_join_spread(present, counts, links, url, hot_rows=hot_rows)
+        return present.join(F.broadcast(links), same, "left_semi")
+    link = F.struct(*year, F.col(url)).alias("_link")
+    present, links = present.withColumn("_link", link), links.select(link)
+    counts = present.groupBy("_link").count()
+    return semi_join_spread(present, counts, links, "_link", hot_rows=hot_rows).drop("_link")
 
 
 def lookup(
@@ -114,17 +119,19 @@ def lookup(
     key: str,
     default: dict[str, object],
     dim_key: str | None = None,
-    max_rows: int = 100_000,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join with a table of values; absent keys take the default values.
 
-    The table is broadcast only while it has at most ``max_rows`` rows. Above
-    that it is joined by shuffle, and adaptive execution splits hot keys.
+    The table is broadcast only while its values take at most ``max_broadcast``
+    bytes. Above that it is joined by shuffle, and adaptive execution splits hot
+    keys.
     """
     dim_key = dim_key or key
     columns: Sequence[str] = [c for c in dim.columns if c != dim_key]
     table = dim.withColumnRenamed(dim_key, "_dim_key")
-    if dim.limit(max_rows + 1).count() <= max_rows:
+    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if size <= max_broadcast:
         table = F.broadcast(table)
     filled: list[Column] = [
         F.coalesce(F.col(f"`{c}`"), F.lit(default[c])).alias(c) if c in default else F.col(f"`{c}`")

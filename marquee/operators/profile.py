@@ -17,6 +17,9 @@ from marquee.operators.dedup import all_duplicates
 QUARTILES = (0.25, 0.5, 0.75)
 # Rank error of the approximate quantiles is at most rows / ACCURACY.
 ACCURACY = 10_000
+# Each bracket of a quantile is counted in so many equal stretches; only values
+# of the stretches that hold a wanted rank are ranked.
+STRETCHES = 1_000
 
 
 def _long(df: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
@@ -39,8 +42,9 @@ def numeric_stats(
 
     Quantiles are exact with linear interpolation, yet no task holds a whole
     column: approximate quantiles with a known rank error bracket each wanted
-    rank, and only the values inside a bracket, about 4/accuracy of the rows,
-    are ranked one by one. The values between two brackets are one count.
+    rank. A bracket, about 4/accuracy of the rows, is counted in stretches, and
+    only values of the stretch that holds the rank are ranked one by one. It is
+    an error if a rank lay outside its bracket.
     The brackets, one row per column, are computed first, by a job of their
     own: read lazily they would be computed anew for every use.
     """
@@ -79,12 +83,34 @@ def numeric_stats(
         .groupBy("column", passed.alias("passed"), F.when(inside, value).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # Values between two brackets come before those of the next bracket.
-    running = Window.partitionBy("column").orderBy("passed", F.col("v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    from marquee.sinks.staging import stage
+
+    # Values inside brackets with their stretch; what lies between two brackets
+    # comes before the next one's values, as stretch -1.
+    low, high = (F.element_at(F.array(*(F.col(f"{end}{i}") for i in range(n))), F.col("passed") + 1) for end in ("lo", "hi"))
+    stretch = F.when(F.col("v").isNull(), -1).when(high > low, F.floor((F.col("v") - low) / (high - low) * STRETCHES)).otherwise(0)
+    counted = stage(
+        counted.join(F.broadcast(ends), "column").select("column", "passed", "v", "n", stretch.cast("int").alias("stretch"))
     )
-    ranked = counted.withColumn("upto", F.sum("n").over(running)).join(
-        F.broadcast(stats.select("column", "count")), "column"
+    upto = Window.partitionBy("column").orderBy("passed", "stretch").rowsBetween(Window.unboundedPreceding, 0)
+    exact_ranks = [(F.col("count") - 1) * F.lit(float(p)) for p in probs]
+    ranks = [whole(r) for r in exact_ranks for whole in (F.floor, F.ceil)]
+    wanted = F.lit(False)
+    for rank in ranks:
+        wanted = wanted | ((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")))
+    # At most quantiles * (stretches + 1) rows per column.
+    chosen = (
+        counted.groupBy("column", "passed", "stretch").agg(F.sum("n").alias("n"))
+        .withColumn("before", F.sum("n").over(upto) - F.col("n"))
+        .join(F.broadcast(stats.select("column", "count")), "column")
+        .filter(wanted)
+        .withColumn("before", F.when(F.col("stretch") >= 0, F.col("before")).otherwise(
+            F.raise_error(F.lit("a quantile lies outside its bracket")).cast("long")))
+        .select("column", "passed", "stretch", "before", "count")
+    )
+    running = Window.partitionBy("column", "passed", "stretch").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.join(F.broadcast(chosen), ["column", "passed", "stretch"]).withColumn(
+        "upto", F.col("before") + F.sum("n").over(running)
     )
 
     def at(rank: Column) -> Column:
@@ -161,7 +187,10 @@ def describe_numeric(df: DataFrame, c: str, flatten: bool = False, exact: bool =
 
 
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """``describe_all`` plus the number of NULLs per column."""
+    """``describe_all`` plus the number of NULLs per column. The frame is read several times, so it is written first."""
+    from marquee.sinks.staging import stage
+
+    df = stage(df)
     return describe_all(df, exact).join(F.broadcast(null_counts(df)), "column", "left")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marquee.functions import malformed_list, out_of_range
 from marquee.operators.dedup import top_per_group
 
+# Columns of printed lists, and ranges of numbers.
 LIST_COLUMNS = (
     "writers", "directors", "stars", "countries_origin", "filming_locations",
     "production_companies", "awards_content", "genres", "languages",

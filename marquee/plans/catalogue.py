@@ -23,10 +23,11 @@ from marquee.operators.dedup import duplicate_report, keep_last, top_per_group
 from marquee.operators.quality import LIST_COLUMNS, validate
 from marquee.plans.schemas import BOOKKEEPING, CATALOGUE, RENAMES
 from marquee.sinks import stage, write_duplicates, write_outputs
-from marquee.sources import read_years
+from marquee.sources import scan_years
 
 log = logging.getLogger(__name__)
 
+# Columns that are text as they stand.
 PLAIN_TEXT = (
     "votes", "budget", "opening_weekend_gross", "gross_worldwide", "gross_us_canada", "mpa",
     "duration", "description",
@@ -130,30 +131,34 @@ def curate(cleaned: DataFrame, order: Sequence[str] = BOOKKEEPING) -> Curated:
 
 
 class CatalogueRun(NamedTuple):
-    """What was written, the reports, and the rows read and kept."""
+    """What was written, the reports, the rows read and kept, and files that could not be read with the reason."""
 
     written: list[str]
     has_duplicates: bool
     reports: Curated
     rows_read: int
     rows_kept: int | None
+    skipped: dict[str, str]
 
 
 def run_catalogue(
-    spark: SparkSession, root: str, out: str, formats: Sequence[str] = ("csv", "parquet", "arrow")
+    spark: SparkSession, root: str, out: str, formats: Sequence[str] = ("csv", "parquet", "arrow"),
+    multi_line: bool = True,
 ) -> CatalogueRun:
     """Yearly files below ``root`` to the catalogue files below ``out``.
 
     Files are parsed and cleaned once, into a stored table that feeds the
-    reports and the catalogue.
+    reports and the catalogue. Files without quoted line breaks are split over
+    tasks if ``multi_line`` is off.
     """
-    raw, read = observe_rows(clean_catalogue(read_years(spark, root)), "read")
+    found_files = scan_years(spark, root, multi_line=multi_line)
+    raw, read = observe_rows(clean_catalogue(found_files.rows), "read")
     result = curate(stage(raw))
     found = write_duplicates(result.duplicates, f"{out.rstrip('/')}/duplicates.csv")
     kept, count = observe_rows(result.catalogue, "kept")
     written = write_outputs(kept, out, formats)
     rows_kept = count.get["rows"] if written else None
-    return CatalogueRun(written, found, result, read.get["rows"], rows_kept)
+    return CatalogueRun(written, found, result, read.get["rows"], rows_kept, found_files.skipped)
 
 
 def top_grossing(df: DataFrame, group: str = "src_year", gross: str = "gross_us_canada", n: int = 600) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions import (
     duration_ok, missing_flag, norm_text, rating_code, rating_min_age, rating_min_age_int, to_number,
 )
-from marquee.functions.numbers import MISSING, hours_minutes, minutes_of, votes_of
+from marquee.functions.numbers import MISSING, hours_minutes, minutes_of, votes_of, whole
 from marquee.functions.ratings import group_of, is_known_code
 from marquee.operators.columns import narrow_ints, swap_where
 
@@ -35,13 +36,25 @@ def normalise_catalogue(df: DataFrame, strict: bool = True) -> DataFrame:
         c = F.col(name)
         return F.coalesce(c.cast("double") if strict else c.try_cast("double"), F.lit(float(MISSING)))
 
+    def readable(name: str) -> Column:
+        """The cell as text; numbers are cut to whole ones."""
+        c = F.col(name)
+        return whole(c).cast("string") if isinstance(df.schema[name].dataType, T.NumericType) else c.cast("string")
+
+    def minutes() -> Column:
+        read = minutes_of(F.col("_duration"), F.col("_parts"))
+        if not isinstance(df.schema["duration"].dataType, T.NumericType):
+            return read
+        # A number counts as it is, a negative one too, which is no duration text.
+        return F.coalesce(F.col("_duration").try_cast("bigint"), read)
+
     # One projection per level: what a level computes is used more than once
     # by the next, so Spark keeps them apart and computes it once per row.
     texts = df.withColumns({
         "id": norm_text(F.col("id")),
         "title": norm_text(F.col("title")),
-        "votes": norm_text(F.col("votes").cast("string")),
-        "_duration": norm_text(F.col("duration").cast("string")),
+        "votes": norm_text(readable("votes")),
+        "_duration": norm_text(readable("duration")),
         "_mpa": norm_text(F.col("MPA")),
     })
     swap = is_known_code(F.col("_duration")) & F.col("MPA").isNull()
@@ -50,12 +63,12 @@ def normalise_catalogue(df: DataFrame, strict: bool = True) -> DataFrame:
     parts = swapped.withColumn("_parts", hours_minutes(F.col("_duration")))
     parsed = parts.withColumns({
         "year": to_number(F.col("year"), strict),
-        "duration": minutes_of(F.col("_duration"), F.col("_parts")),
+        "duration": minutes(),
         "MPA_original": F.col("MPA"),
         "MPA": group_of(F.col("_mpa")),
         "rating": number("rating").cast("float"),
         "votes": votes_of(F.col("votes")),
-        "meta_score": number("meta_score").cast("int"),
+        "meta_score": F.coalesce(number("meta_score").try_cast("bigint"), F.lit(MISSING)),
     }).drop("_duration", "_mpa", "_swap", "_parts")
     flagged = parsed.withColumns({
         "duration_converted": duration_ok(F.col("duration")),

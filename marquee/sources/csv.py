@@ -89,21 +89,37 @@ def group_by_header(spark: SparkSession, paths: Sequence[str], multi_line: bool
     return YearFiles(groups, skipped)
 
 
-def read_csv_files(
+class CsvRead(NamedTuple):
+    """Rows of the readable files, and the others with the reason."""
+
+    rows: DataFrame
+    skipped: dict[str, str]
+
+
+class UnreadableFiles(ValueError):
+    """Files that were to be read and could not be."""
+
+    def __init__(self, skipped: dict[str, str]):
+        shown = "; ".join(f"{path}: {why}" for path, why in list(skipped.items())[:5])
+        super().__init__(f"{len(skipped)} unreadable CSV files: {shown}")
+        self.skipped = skipped
+
+
+def scan_csv_files(
     spark: SparkSession,
     paths: Sequence[str],
     *,
     na_tokens: Iterable[str] | None = None,
     multi_line: bool = True,
-) -> DataFrame:
-    """CSV files whose headers may differ, united by column name.
+) -> CsvRead:
+    """CSV files whose headers may differ, united by column name; tells which could not be read.
 
     Adds ``src_year`` (from a four-digit folder), ``_src_file`` and
     ``_src_pos``. The three together order rows as they stand in the files.
     """
     found = group_by_header(spark, paths, multi_line)
     if not found.by_header:
-        raise ValueError("no readable CSV file")
+        raise UnreadableFiles(found.skipped)
     frames = []
     for names, files in found.by_header.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
@@ -125,19 +141,45 @@ def read_csv_files(
                 ).alias("_src_pos"),
             )
         )
-    return union_relaxed(frames)
+    return CsvRead(union_relaxed(frames), found.skipped)
 
 
-def read_years(
+def read_csv_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    *,
+    na_tokens: Iterable[str] | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
+    """``scan_csv_files`` for files that must all be readable; else it raises ``UnreadableFiles``."""
+    found = scan_csv_files(spark, paths, na_tokens=na_tokens, multi_line=multi_line)
+    if found.skipped:
+        raise UnreadableFiles(found.skipped)
+    return found.rows
+
+
+def scan_years(
     spark: SparkSession,
     root: str,
     pattern: str = YEAR_PATTERN,
     *,
     na_tokens: Iterable[str] | None = None,
     multi_line: bool = True,
-) -> DataFrame:
-    """All yearly files below ``root``; unreadable files are logged and skipped."""
+) -> CsvRead:
+    """All yearly files below ``root``, and which of them could not be read."""
     paths = list_year_files(spark, root, pattern)
     if not paths:
         raise ValueError(f"no file {pattern} in the sub-folders of {root}")
-    return read_csv_files(spark, paths, na_tokens=na_tokens, multi_line=multi_line)
+    return scan_csv_files(spark, paths, na_tokens=na_tokens, multi_line=multi_line)
+
+
+def read_years(
+    spark: SparkSession,
+    root: str,
+    pattern: str = YEAR_PATTERN,
+    *,
+    na_tokens: Iterable[str] | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
+    """Rows of all readable yearly files below ``root``; the others are logged. ``scan_years`` returns them."""
+    return scan_years(spark, root, pattern, na_tokens=na_tokens, multi_line=multi_line).rows

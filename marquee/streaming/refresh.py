@@ -22,13 +22,15 @@ def refresh_catalogue(
     checkpoint: str,
     pattern: str = YEAR_PATTERN,
     files_per_batch: int = 1_000,
+    multi_line: bool = True,
 ) -> StreamingQuery:
     """Clean the files that arrived since the last run and append them to ``store``.
 
     The stream only discovers files, as a CSV stream would align columns by
     position. Each batch reads its files by header and keeps the last row per
     id. A batch overwrites its own folder, so a repeated batch changes
-    nothing. The query ends when all present files are handled.
+    nothing. A file that cannot be read fails the batch, which is then not
+    committed: the file is read again by the next run. The query ends when all present files are handled.
     """
     arrived = (
         spark.readStream.format("binaryFile")
@@ -42,7 +44,7 @@ def refresh_catalogue(
         paths = sorted(row.path for row in files.collect())  # at most files_per_batch names
         if not paths:
             return
-        cleaned = clean_catalogue(read_csv_files(files.sparkSession, paths))
+        cleaned = clean_catalogue(read_csv_files(files.sparkSession, paths, multi_line=multi_line))
         # Row positions are only comparable within one file, which is all the
         # order needs: file names come first.
         last = keep_last(cleaned, "id", BOOKKEEPING)

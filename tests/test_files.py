@@ -12,7 +12,9 @@ from marquee.plans import check_columns, clean_catalogue, normalise_catalogue, r
 from marquee.plans.schemas import CATALOGUE
 from marquee.operators import lead_columns
 from marquee.sinks import stage, write_arrow, write_csv, write_duplicates, write_outputs, write_yearly
-from marquee.sources import list_year_files, read_csv, read_csv_files, read_pages, read_years
+from marquee.sources import (
+    UnreadableFiles, list_year_files, read_csv, read_csv_files, read_pages, read_years, scan_csv_files,
+)
 from marquee.streaming import current_catalogue, refresh_catalogue
 
 
@@ -68,8 +70,13 @@ def test_reordered_header(spark, tmp_path):
 def test_unreadable_file_is_skipped(spark, years, caplog):
     paths = [*list_year_files(spark, str(years)), str(years / "1990/absent.csv")]
     with caplog.at_level(logging.WARNING):
-        assert read_csv_files(spark, paths).count() == 5
+        found = scan_csv_files(spark, paths)
+    assert found.rows.count() == 5
+    assert [p.rsplit("/", 1)[1] for p in found.skipped] == ["absent.csv"]
     assert "absent.csv" in caplog.text
+    with pytest.raises(UnreadableFiles) as e:
+        read_csv_files(spark, paths)
+    assert e.value.skipped == found.skipped
 
 
 def test_na_tokens(spark, tmp_path):
@@ -137,7 +144,7 @@ def test_normalise_after_bridge(spark, years):
     v2 = to_catalogue_v2(clean_catalogue(read_years(spark, str(years))))
     df = normalise_catalogue(v2.filter("id IS NOT NULL"))
     types = dict(df.dtypes)
-    assert (types["year"], types["rating"], types["meta_score"]) == ("smallint", "float", "tinyint")
+    assert (types["year"], types["rating"], types["meta_score"]) == ("int", "float", "bigint")
     row = df.filter("title = 'b'").first()
     assert (row["year"], row["rating"], row["duration"], row["MPA"], row["votes"], row["rating_was_missing"]) == (
         1999, 10.0, -1, "unrated", -1, True)

@@ -41,7 +41,12 @@ CASES = {
         {"7/18/2008": date(2008, 7, 18), "2008-07-18": date(2008, 7, 18), "18-07-2008": date(2008, 7, 18),
          "July 18, 2008": date(2008, 7, 18), "unknown": None, "N/A": None, "[]": None, "July 2008": date(2008, 7, 1),
          "2008": date(2008, 1, 1), "25/12/2008": date(2008, 12, 25), "Jul 4, 2001": date(2001, 7, 4),
-         "4 July 2001": date(2001, 7, 4), "May 1999": date(1999, 5, 1), "99/99/2001": None, None: None},
+         "4 July 2001": date(2001, 7, 4), "May 1999": date(1999, 5, 1), "99/99/2001": None, None: None,
+         "2008-07-18 00:00:00": date(2008, 7, 18), "2008-07-18T01:02:03": date(2008, 7, 18), "July 18 2008": date(2008, 7, 18),
+         "Jul. 18, 2008": date(2008, 7, 18), "Sept 5, 2008": date(2008, 9, 5), "Sept. 5, 2008": date(2008, 9, 5),
+         "18-Jul-2008": date(2008, 7, 18), "2008-07": date(2008, 7, 1), "20080718": date(2008, 7, 18), "7/18/08": date(2008, 7, 18),
+         "7/18/99": date(1999, 7, 18), "2008.07.18": date(2008, 7, 18), "July 18th, 2008": date(2008, 7, 18),
+         "1st May 2001": date(2001, 5, 1), "August 5, 2008": date(2008, 8, 5), "20081318": None, "2008.13.01": None},
     ),
     "duration_minutes": (
         mf.duration_minutes,
@@ -111,6 +116,18 @@ def test_strict_number_fails(spark):
         df.select(mf.to_number(df.y)).collect()
 
 
+def test_numbers_in_number_columns(column):
+    assert column(mf.duration_minutes, [90.0, 90.9, -5.0, None, float("nan")], "double") == [90, 90, -5, -1, -1]
+    assert column(mf.duration_minutes, [90, None], "int") == [90, -1]
+    assert column(mf.parse_votes, [1200.0, 2.5e7, None], "double") == [1200, 25_000_000, -1]
+
+
+def test_number_text(column):
+    values = ["1999", " 1999.0 ", "1999.5", "x", "1e3", "40000", None, "99999999999"]
+    assert column(lambda c: mf.to_number(c, strict=False), values) == [1999, 1999, None, None, 1000, 40000, None, None]
+    assert column(mf.to_number, ["1999.0", None]) == [1999, None]
+
+
 def test_list_prints_as_python_does(column):
     values = [["a\xa0b", "O'B"], [], None, ["a\"b'c", "d\\e", "t\tn\n"], ["plain", "\u2028", "é"]]
     assert column(mf.list_to_text, values, "array<string>") == [None if v is None else repr(v) for v in values]

@@ -121,11 +121,18 @@ def test_hot_rows_are_spread(spark):
     assert len(sizes) > 1
 
 
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_pages_of_another_year_do_not_count(spark, limit):
+    listing = spark.createDataFrame([(1999, "a"), (2000, "b"), (2001, None)], "src_year int, `Movie Link` string")
+    pages = spark.createDataFrame([(1999, "a"), (2000, "a"), (2000, "b"), (2001, None)], "src_year int, url string")
+    assert rows(op.restrict_pages(pages, listing, max_broadcast=limit, hot_rows=1)) == [(1999, "a"), (2000, "b")]
+
+
 def test_lookup_default_and_size_check(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     dim = spark.createDataFrame([(1, "one")], "k int, name string")
-    for limit in (10, 0):
-        found = op.lookup(df, dim, "k", {"name": "none"}, max_rows=limit)
+    for limit in (1_000, 0):
+        found = op.lookup(df, dim, "k", {"name": "none"}, max_broadcast=limit)
         assert rows(found) == [(1, "one"), (2, "none"), (None, "none")]
 
 

@@ -68,19 +68,23 @@ def _minutes(d: str) -> str:
     )
 
 
+# Age-rating codes of each group.
 _CODES = {
-    "general": "g tv-g tv-y", "parental_guidance": "pg tv-pg approved passed m m/pg gp tv-y7 tv-y7-fv",
-    "teen": "pg-13 tv-14 tv-13 13+", "mature": "r tv-ma ma-17 16+", "adults_only": "nc-17 x 18+",
+    "general": ("g", "tv-g", "tv-y"),
+    "parental_guidance": ("pg", "tv-pg", "approved", "passed", "m", "m/pg", "gp", "tv-y7", "tv-y7-fv"),
+    "teen": ("pg-13", "tv-14", "tv-13", "13+"),
+    "mature": ("r", "tv-ma", "ma-17", "16+"),
+    "adults_only": ("nc-17", "x", "18+"),
 }
-_ALL_CODES = [c for codes in _CODES.values() for c in codes.split()] + ["not rated", "unrated", "none", "e"]
+_ALL_CODES = [c for codes in _CODES.values() for c in codes] + ["not rated", "unrated", "none", "e"]
 
 
-def _in(codes: list[str]) -> str:
+def _in(codes) -> str:
     return "(" + ", ".join(f"'{c}'" for c in codes) + ")"
 
 
 def _group(x: str) -> str:
-    whens = " ".join(f"WHEN lower({_trim(x)}) IN {_in(c.split())} THEN '{g}'" for g, c in _CODES.items())
+    whens = " ".join(f"WHEN lower({_trim(x)}) IN {_in(c)} THEN '{g}'" for g, c in _CODES.items())
     return f"CASE {whens} ELSE 'unrated' END"
 
 
@@ -201,7 +205,15 @@ ORACLES: dict[str, str] = {
             WHEN r >= 0 AND r <= 10 AND abs(r * 10 - round(r * 10)) < 1e-3 THEN round(r * 10) + 1 END AS INT) AS code
         FROM (SELECT pos, COALESCE({RATING}, -1.0) + CASE WHEN pos % 7 = 0 THEN 0.05 ELSE 0 END AS r FROM movies)"""),
     "missing_flags": _movies(f"SELECT pos, {RATING} IS NULL OR {VOTES} = -1 AS missing FROM movies"),
-    "year_to_number": _movies(f"SELECT pos, {_WHOLE_YEAR} AS year FROM movies"),
+    "year_to_number": _movies(f"""
+        SELECT pos, CASE WHEN y = floor(y) THEN CAST(y AS INT) END AS year FROM (
+          SELECT pos, TRY_CAST({_trim('Year')} AS DOUBLE) AS y FROM movies)"""),
+    "number_cells": _movies("""
+        SELECT pos, CAST(pos % 300 AS BIGINT) AS minutes,
+          CASE WHEN pos % 7 > 0 THEN CAST(floor(pos * 2500) AS BIGINT) ELSE -1 END AS votes FROM movies"""),
+    "normalise_wide_values": _movies("""
+        SELECT pos, CAST(pos + 40000 AS BIGINT) AS year, CAST(pos * 100000000 AS BIGINT) AS duration,
+          CAST(pos * 1000000000 AS BIGINT) AS votes, CAST(pos * 1000 AS BIGINT) AS meta_score FROM movies"""),
     "fit_integer_types": """
         SELECT l_linenumber, count(*) AS n, CAST(sum(l_suppkey) AS BIGINT) AS suppkeys, max(l_partkey) AS top_part
         FROM lineitem GROUP BY 1""",
@@ -354,6 +366,36 @@ ORACLES: dict[str, str] = {
         SELECT pos, id, title, rating, strftime(release_date, '%Y-%m-%d') AS release_date, title AS csv_title
         FROM cleaned {_LAST}""",
     "arrow_files": _rows("SELECT * FROM rows"),
-    "refresh_stream": _rows("SELECT DISTINCT id, 1 AS one FROM rows"),
+    "csv_na_tokens": _movies("""
+        SELECT pos, CASE WHEN MPA IN ('n/a', '') THEN NULL ELSE MPA END AS MPA, Title FROM movies"""),
+    "read_years_skips": _movies("SELECT pos, src_year, Title, CAST(1 AS INT) AS skipped FROM movies"),
+    "duplicates_file": _rows("SELECT id, count(*) AS count FROM rows WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1"),
+    "unexpected_column_counts": _movies("SELECT CAST(count(*) FILTER (pos % 3 > 0) AS BIGINT) AS studio FROM movies"),
+    "head_of_result": _movies("SELECT src_year, pos, Title FROM movies ORDER BY src_year, pos LIMIT 5"),
+    "listing_sections": """
+        SELECT CAST(floor(o_orderkey / 50) AS BIGINT) AS page_id, o_orderkey || '. A & B' AS title,
+          CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 10 || '.5' END AS rating,
+          CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 100 AS STRING) END AS score, false AS _failed
+        FROM orders WHERE CAST(floor(o_orderkey / 50) AS BIGINT) % 10 <> 3
+        UNION ALL
+        SELECT DISTINCT CAST(floor(o_orderkey / 50) AS BIGINT), NULL, NULL, NULL, true
+        FROM orders WHERE CAST(floor(o_orderkey / 50) AS BIGINT) % 10 = 3""",
+    "detail_sections": """
+        SELECT 'https://ex.example/' || c_custkey AS link, CAST(NULL AS STRING) AS "opening_weekend_Gross",
+          CASE WHEN c_custkey % 4 > 0 THEN '$' || c_custkey * 3 END AS worldwide,
+          CASE WHEN c_custkey % 3 > 0 THEN '$' || c_custkey * 2 END AS domestic,
+          'July ' || (c_custkey % 28 + 1) || ', 2008' AS release_date, c_name || '|A. Star' AS stars,
+          'US|' || c_mktsegment AS countries_origin, c_name || ' (studio)|Rome' AS filming_locations,
+          'Studio ' || c_custkey || '|Other' AS production_company, 'War|' || c_mktsegment AS genres,
+          'English|French' AS languages,
+          CAST(3 + (c_custkey % 4 = 0)::INT + (c_custkey % 3 = 0)::INT AS INT) AS n_errors
+        FROM customer""",
+    "built_per_year": """
+        SELECT DISTINCT CAST(CAST(floor(o_orderkey / 50) AS BIGINT) % 2 AS INT) AS src_year,
+          'https://ex.example/title/tt' || c_custkey || '/?ref=1' AS link, CAST(1 AS BIGINT) AS n
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "refresh_stream": _with(_MOVIES, _CLEAN) + f"""
+        SELECT pos, id, title, rating, strftime(release_date, '%Y-%m-%d') AS release_date
+        FROM cleaned QUALIFY row_number() OVER (PARTITION BY id ORDER BY src_year DESC, pos DESC) = 1""",
     "staged_rows": _rows("SELECT src_year, count(*) AS n, count(id) AS with_id FROM rows GROUP BY 1"),
 }

@@ -11,8 +11,8 @@ from marquee import functions as mf
 from marquee import operators as op
 from marquee import plans
 from marquee.operators.quality import validate
-from marquee.sinks import shared_folder, stage, write_arrow, write_outputs, write_yearly
-from marquee.sources import read_csv_files, read_pages
+from marquee.sinks import shared_folder, stage, write_arrow, write_duplicates, write_outputs, write_yearly
+from marquee.sources import list_year_files, read_csv, read_csv_files, read_pages, scan_csv_files, scan_years
 from marquee.streaming import current_catalogue, refresh_catalogue
 from workload.frames import details, movies, table
 
@@ -160,6 +160,27 @@ def rating_group_min_age(spark, sf):
     )
 
 
+@query
+def number_cells(spark, sf):
+    """Durations and votes that a source delivers as numbers."""
+    rows = movies(spark, sf).select(
+        "pos", (F.col("pos") % 300 + 0.75).cast("double").alias("d"), F.when(F.col("pos") % 7 > 0, F.col("pos") * 2.5e3).alias("v")
+    )
+    return rows.select("pos", mf.duration_minutes(F.col("d")).alias("minutes"), mf.parse_votes(F.col("v")).alias("votes"))
+
+
+@query
+def normalise_wide_values(spark, sf):
+    """Values that no narrow type holds; none may stop the job."""
+    pos = F.col("pos")
+    wide = _analysis_input(spark, sf).withColumns({
+        "meta_score": (pos * 1_000).cast("double"), "year": (pos + 40_000).cast("string"),
+        "duration": (pos * 100_000_000).cast("string"), "votes": pos * 1.0e9,
+    })
+    df = plans.normalise_catalogue(wide, strict=False)
+    return df.select("pos", *(F.col(c).cast("bigint").alias(c) for c in ("year", "duration", "votes", "meta_score")))
+
+
 @query
 def votes_parse(spark, sf):
     return movies(spark, sf).select("pos", mf.parse_votes(F.col("Votes")).alias("votes"))
@@ -463,7 +484,8 @@ def _analysis_input(spark, sf):
 def normalise_catalogue(spark, sf):
     df = plans.normalise_catalogue(_analysis_input(spark, sf))
     return df.select(
-        "pos", "title", F.col("year").cast("int").alias("year"), "duration", "duration_converted",
+        "pos", "title", F.col("year").cast("int").alias("year"), F.col("duration").cast("int").alias("duration"),
+        "duration_converted",
         "MPA", "MPA_original", "MPA_min_age", "MPA_min_age_int",
         F.round(F.col("rating").cast("double"), 3).alias("rating"), "rating_as_category", "votes",
         F.col("meta_score").cast("int").alias("meta_score"), "rating_was_missing", "meta_score_was_missing",
@@ -506,8 +528,8 @@ def html_error_counts(spark, sf):
     return op.extraction_counts(rows).withColumn("src_year", F.col("src_year").cast("int"))
 
 
-def _list_pages(spark, sf):
-    """List pages of 50 films each, put together from orders."""
+def _list_pages(spark, sf, rated: bool = False):
+    """List pages of 50 films each, put together from orders. ``rated``: with ratings and scores, some pages broken."""
     def tag(name: str, attrs: str, body: Column) -> Column:
         return F.concat(F.lit(f"<{name} {attrs}>"), F.coalesce(body, F.lit("")), F.lit(f"</{name}>"))
 
@@ -522,6 +544,10 @@ def _list_pages(spark, sf):
         tag("h3", 'class="ipc-title__text"', F.concat(F.col("o_orderkey").cast("string"), F.lit(". A &amp; B"))),
         F.lit('<a class="ipc-lockup-overlay ipc-focusable" href="/title/tt'), F.col("o_custkey").cast("string"),
         F.lit('/?ref=1">x</a>'), spans,
+        F.when(F.lit(rated) & (F.col("o_orderkey") % 3 > 0), F.concat(
+            tag("span", 'class="ipc-rating-star--rating"', F.concat((F.col("o_orderkey") % 10).cast("string"), F.lit(".5"))),
+            tag("span", 'class="x metacritic-score-box"', (F.col("o_orderkey") % 100).cast("string")),
+        )).otherwise(""),
         tag("span", 'class="ipc-rating-star--voteCount"', F.concat(F.lit("&nbsp;("), F.col("o_custkey").cast("string"), F.lit("K)"))),
         tag("div", 'class="ipc-html-content-inner-div"', F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" "))),
     )  # items are left open, as the next one ends them
@@ -530,9 +556,18 @@ def _list_pages(spark, sf):
             F.lit('<html><body><ul class="ipc-metadata-list other">'),
             F.array_join(F.sort_array(F.collect_list(item)), ""), F.lit("</ul><footer>"),
         ).alias("html")
+    ).withColumn(
+        # A number too long for the page's reader, where the container is looked for.
+        "html", F.when(F.lit(rated) & (F.col("page_id") % 10 == 3), f'<ul class="&#{"1" * 5000};"><li>').otherwise(F.col("html"))
     )
 
 
+@query
+def listing_sections(spark, sf):
+    rows = plans.extract_listing(_list_pages(spark, sf, rated=True), "https://ex.example", on_error="keep")
+    return rows.select("page_id", F.col("Title").alias("title"), F.col("Rating").alias("rating"), F.col("méta_score").alias("score"), "_failed")
+
+
 def _title_pages(spark, sf):
     """One title page per customer."""
     def links(name: str) -> Column:
@@ -553,6 +588,60 @@ def _title_pages(spark, sf):
     )
 
 
+def _full_title_pages(spark, sf):
+    """One title page per customer with every section; some sections lack their entry."""
+    key = F.col("c_custkey").cast("string")
+    entry = "ipc-metadata-list-item__list-content-item"
+
+    def section(test_id: str, *body: Column | str, tag: str = "li") -> list[Column]:
+        whole = [F.lit(b) if isinstance(b, str) else b for b in body]
+        return [F.lit(f'<{tag} data-testid="{test_id}">'), *whole, F.lit(f"</{tag}>")]
+
+    def link(body: Column, attrs: str = f'class="{entry}"') -> Column:
+        return F.concat(F.lit(f"<a {attrs}>"), body, F.lit("</a>"))
+
+    def money(test_id: str, factor: int) -> list[Column]:
+        amount = F.concat(F.lit(f'<span class="{entry}">$'), (F.col("c_custkey") * factor).cast("string"), F.lit("</span>"))
+        return section(test_id, F.when(F.col("c_custkey") % (factor + 1) > 0, amount).otherwise(""))
+
+    actor = 'data-testid="title-cast-item__actor"'
+    html = F.concat(
+        *section("title-boxoffice-openingweekenddomestic", F.lit("")),
+        *money("title-boxoffice-cumulativeworldwidegross", 3), *money("title-boxoffice-grossdomestic", 2),
+        *section("title-details-releasedate", link(F.concat(F.lit("July "), (F.col("c_custkey") % 28 + 1).cast("string"), F.lit(", 2008 (USA)")))),
+        *section("title-details-origin", link(F.lit("US")), link(F.col("c_mktsegment"))),
+        *section("title-details-filminglocations", '<ul><li class="ipc-inline-list__item">', link(F.col("c_name"), 'href="/l"'),
+                 '<span>(studio)</span></li><li class="ipc-inline-list__item"><a>Rome</a></li></ul>'),
+        *section("title-details-companies", link(F.concat(F.lit("Studio "), key)), link(F.lit("Other"))),
+        *section("title-details-languages", link(F.lit("English")), link(F.lit("French"))),
+        *section("interests", '<span class="x ipc-chip__text">War</span><span class="ipc-chip__text">', F.col("c_mktsegment"), "</span>", tag="div"),
+        F.lit('<div class="ipc-sub-grid ipc-sub-grid--page-span-2 ipc-sub-grid--wraps-at-above-l ipc-shoveler__grid">'),
+        *section("title-cast-item", link(F.col("c_name"), actor), tag="div"), *section("title-cast-item", "<a>no actor</a>", tag="div"),
+        *section("title-cast-item", link(F.lit("A. Star"), actor), tag="div"), F.lit("</div>"),
+    )
+    return table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("https://ex.example/"), key).alias("url"), html.alias("html"))
+
+
+@query
+def detail_sections(spark, sf):
+    rows = plans.extract_details(_full_title_pages(spark, sf))
+    lists = ("stars", "countries_origin", "filming_locations", "production_company", "genres", "Languages")
+    return rows.select(
+        "link", "opening_weekend_Gross", F.col("grossWorldWWide").alias("worldwide"), F.col("gross_US_Canada").alias("domestic"),
+        "release_date", *(F.array_join(c, "|").alias(c.lower()) for c in lists), F.size("_errors").alias("n_errors"),
+    )
+
+
+@query
+def built_per_year(spark, sf):
+    """A page counts for the years whose listing links to it, and for no other."""
+    years = F.col("page_id") % 2
+    lists = _list_pages(spark, sf).withColumn("src_year", years.cast("int"))
+    titles = _title_pages(spark, sf).withColumn("src_year", F.explode(F.array(F.lit(0), F.lit(1))))
+    built = plans.build_catalogue(lists, titles, "https://ex.example")
+    return built.details.groupBy("src_year", "link").count().withColumnRenamed("count", "n")
+
+
 @query
 def build_catalogue(spark, sf):
     built = plans.build_catalogue(_list_pages(spark, sf), _title_pages(spark, sf), "https://ex.example")
@@ -583,6 +672,53 @@ def yearly_csv_round_trip(spark, sf):
     )
 
 
+@query
+def csv_na_tokens(spark, sf):
+    raw = movies(spark, sf).select(F.col("pos").cast("string").alias("pos"), "MPA", "Title")
+    folder = _folder(raw, "plain")
+    raw.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+    return read_csv(spark, folder, multi_line=False).select(F.col("pos").cast("bigint").alias("pos"), "MPA", "Title")
+
+
+@query
+def read_years_skips(spark, sf):
+    """Two header orders, and one file that has no header: it is reported, and the others are read."""
+    raw = movies(spark, sf)
+    folder = _folder(raw, "years")
+    write_yearly(raw.where("src_year < 1996").select("pos", "Title", "src_year"), folder)
+    write_yearly(raw.where("src_year >= 1996").select("Title", "pos", "src_year"), f"{folder}-later")
+    raw.limit(1).select(F.lit("").alias("line")).write.text(f"{folder}/src_year=1900")
+    early = scan_years(spark, folder, "part-*")
+    later = scan_years(spark, f"{folder}-later", "part-*")
+    paths = [*list_year_files(spark, folder, "part-*.csv"), *list_year_files(spark, f"{folder}-later", "part-*.csv")]
+    both = scan_csv_files(spark, paths)
+    return both.rows.select(F.col("pos").cast("bigint").alias("pos"), "src_year", "Title").withColumn(
+        "skipped", F.lit(len(early.skipped) + len(later.skipped) + len(both.skipped))
+    )
+
+
+@query
+def duplicates_file(spark, sf):
+    report = op.duplicate_report(_identified(spark, sf))
+    path = f"{_folder(report, 'duplicates')}.csv"
+    write_duplicates(report, path)
+    return read_csv(spark, path, na_tokens=None).select("id", F.col("count").cast("bigint").alias("count"))
+
+
+@query
+def unexpected_column_counts(spark, sf):
+    """Columns that the catalogue does not know are kept; their filled rows."""
+    raw = movies(spark, sf).withColumn("studio", F.when(F.col("pos") % 3 > 0, "x"))
+    odd = [c for c in plans.check_columns(raw).unexpected if c != "pos"]
+    kept = plans.clean_catalogue(raw)
+    return kept.agg(*(F.count(F.col(f"`{c}`")).alias(c) for c in sorted(odd)))
+
+
+@query
+def head_of_result(spark, sf):
+    return movies(spark, sf).orderBy("src_year", "pos").limit(5).select("src_year", "pos", "Title")
+
+
 @query
 def outputs_round_trip(spark, sf):
     result = plans.curate(plans.clean_catalogue(movies(spark, sf)), ["pos"]).catalogue
@@ -624,8 +760,8 @@ def refresh_stream(spark, sf):
         spark, f"{folder}/in", f"{folder}/store", f"{folder}/state", "part-*.csv", files_per_batch=3
     ).awaitTermination()
     # The files hold pos, so the last row is settled by year and then pos.
-    ids = current_catalogue(spark, f"{folder}/store")
-    return ids.select("id", F.lit(1).alias("one")).distinct()
+    rows = current_catalogue(spark, f"{folder}/store")
+    return rows.select(F.col("pos").cast("bigint").alias("pos"), "id", "title", "rating", _day("release_date"))
 
 
 @query
