@@ -55,9 +55,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_arrow(df: DataFrame, path: str) -> None:
-    """Arrow IPC files, one per task."""
+    """Arrow IPC files, one or more per task."""
     arrow.register(df.sparkSession)
-    df.write.format(arrow.FORMAT).mode("overwrite").save(path)
+    df.write.format(arrow.FORMAT).mode("overwrite").save(arrow.qualified(df.sparkSession, path))
 
 
 def write_yearly(df: DataFrame, path: str, year: str = "src_year") -> None:

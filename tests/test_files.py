@@ -225,3 +225,22 @@ def test_refresh_equals_batch(spark, years, tmp_path):
     expected = spark.read.parquet(*batch.written)
     columns = expected.columns
     assert sorted(map(repr, current.select(*columns).collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_arrow_files_roll_and_fail_early(spark, tmp_path, monkeypatch):
+    from marquee.sinks import arrow
+
+    with pytest.raises(Exception):
+        write_arrow(spark.range(3), "nowhere://host/out")
+    assert arrow.qualified(spark, "/a/b") == "file:/a/b"
+    filesystem, path = arrow._locate("file:/a/b")
+    assert (filesystem.type_name, path) == ("local", "/a/b")
+    monkeypatch.setattr(arrow, "FILE_BYTES", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        write_arrow(spark.range(0, 45, 1, 1), str(tmp_path / "rolled"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    files = sorted((tmp_path / "rolled").glob("part-*.arrow"))
+    assert len(files) == 5
+    assert ds.dataset(files, format="arrow").to_table().column("id").to_pylist() == list(range(45))
