@@ -239,7 +239,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, lang, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""",
     "pages_semi_listing_hot": """
         SELECT o_orderkey, o_custkey FROM orders
-        WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)""",
+        WHERE EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = o_custkey)""",
     "keep_last_by_id": _rows(f"SELECT * FROM rows {_LAST}"),
     "keep_last_keep_null": _rows(
         f"SELECT * FROM (SELECT * FROM rows WHERE id IS NOT NULL {_LAST}) UNION ALL SELECT * FROM rows WHERE id IS NULL"
@@ -315,10 +315,14 @@ ORACLES: dict[str, str] = {
         SELECT * EXCLUDE ("column") FROM (
           {_describe('embedding', 'v::DOUBLE', '(SELECT unnest(embedding) AS v FROM embeddings)')})""",
     "analyze_votes": _movies("""
-        SELECT Votes, count(*) AS count FROM movies WHERE Votes IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""),
+        SELECT 'null' AS kind, pos, Votes, CAST(NULL AS BIGINT) AS count FROM movies WHERE Votes IS NULL
+        UNION ALL SELECT 'duplicate', pos, Votes, NULL FROM (
+          SELECT pos, Votes FROM movies QUALIFY count(*) OVER (PARTITION BY Votes) > 1)
+        UNION ALL SELECT 'count', NULL, Votes, count(*) FROM movies WHERE Votes IS NOT NULL GROUP BY Votes HAVING count(*) > 1"""),
     "unique_values": _movies("""
         SELECT DISTINCT 'Duration' AS "column", Duration AS value FROM movies
-        UNION ALL SELECT DISTINCT 'MPA', MPA FROM movies"""),
+        UNION ALL SELECT DISTINCT 'MPA', MPA FROM movies
+        UNION ALL SELECT 'pos', count(*) || '|' || min(pos) || '|' || max(pos) FROM movies"""),
     "clean_catalogue": _with(_MOVIES, _CLEAN) + """
         SELECT * REPLACE (strftime(release_date, '%Y-%m-%d') AS release_date), CAST(NULL AS STRING) AS budget FROM cleaned""",
     "curated_catalogue": _with(_MOVIES, _CLEAN) + f"""

@@ -281,7 +281,7 @@ def pages_semi_listing(spark, sf):
 def pages_semi_listing_hot(spark, sf):
     """The same with every repeated key treated as hot."""
     pages = table(spark, sf, "orders").withColumnRenamed("o_custkey", "url")
-    listing = table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("Movie Link"))
+    listing = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("Movie Link"))
     kept = op.restrict_pages(pages, listing, max_broadcast=0, hot_rows=2)
     return kept.select("o_orderkey", F.col("url").alias("o_custkey"))
 
@@ -437,8 +437,14 @@ def describe_list_items(spark, sf):
 
 @query
 def analyze_votes(spark, sf):
-    report = op.analyze_column(movies(spark, sf), "Votes")
-    return report.duplicate_counts
+    report = op.analyze_column(movies(spark, sf).select("pos", "Votes"), "Votes")
+    none = F.lit(None).cast("bigint")
+    rows = [
+        part.select(F.lit(kind).alias("kind"), "pos", "Votes", none.alias("count"))
+        for kind, part in (("null", report.nulls), ("duplicate", report.duplicates))
+    ]
+    counts = report.duplicate_counts.select(F.lit("count").alias("kind"), none.alias("pos"), "Votes", "count")
+    return rows[0].unionByName(rows[1]).unionByName(counts)
 
 
 @query
@@ -449,7 +455,9 @@ def unique_values(spark, sf):
         values.frame.select(F.lit(c).alias("column"), F.col(c).alias("value"))
         for c, values in found.items() if values.kind == "text"
     ]
-    return op.union_relaxed(texts)
+    (numbers,) = (values.frame for values in found.values() if values.kind == "numeric")
+    whole = [F.col(c).cast("bigint").cast("string") for c in ("count", "min", "max")]
+    return op.union_relaxed([*texts, numbers.select("column", F.concat_ws("|", *whole).alias("value"))])
 
 
 # --- whole tables -----------------------------------------------------------
