@@ -1,8 +1,9 @@
 """URL filters: rules by host and path, and a logistic regression for all other urls.
 
-Rules decide first; of the rules that fit, the longest does. The urls they fit
-are also the labelled table that trains the model: at most ``Settings.learned``
-distinct (host, path) of each verdict, chosen by hash. The model is a logistic
+Rules decide first; of the rules that fit, the longest does. The model is trained
+from a small labelled table of urls: one that is passed, else the urls that a
+rule fits, labelled by it. At most ``Settings.learned`` distinct (host, path) of
+each verdict are taken, chosen by hash. The model is a logistic
 regression on hashed character n-grams of host and path. The n-grams are SQL
 expressions; hashing and regression are Spark's own. No Python runs on rows.
 
@@ -74,12 +75,13 @@ def grams(host: Column, path: Column, sizes: Sequence[int]) -> Column:
 
 def judge_urls(
     pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
-    settings: Settings = Settings(),
+    settings: Settings = Settings(), labelled: DataFrame | None = None,
 ) -> DataFrame:
     """Id, host, path, rule, verdict and the model's probability of ``block`` of each row.
 
     ``rules`` are (verdict, ``host/path``) pairs; they become one expression,
-    so a list of some thousands is as many as is sensible.
+    so a list of some thousands is as many as is sensible. ``labelled`` has
+    columns url and verdict.
     """
     rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     rows = rows.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
@@ -89,10 +91,13 @@ def judge_urls(
         verdict_of = F.when(at, verdict) if verdict_of is None else verdict_of.when(at, verdict)
     rows = rows.withColumn("by_rule", F.lit(None).cast("string") if verdict_of is None else verdict_of)
 
+    known = rows.select("host", "path", "by_rule") if labelled is None else labelled.select(
+        host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("verdict").alias("by_rule")
+    )
     chosen = None
     for verdict in ("allow", "block"):
         part = (
-            rows.where(F.col("by_rule") == verdict).select("host", "path", "by_rule").distinct()
+            known.where(F.col("by_rule") == verdict).distinct()
             .orderBy(F.xxhash64("host", "path"), "host", "path").limit(settings.learned)
         )
         chosen = part if chosen is None else chosen.unionByName(part)

@@ -253,6 +253,12 @@ def test_url_model_learns(spark):
     rows = {r["id"]: r for r in judge_urls(frame, [("block", "bad.net/"), ("allow", "good.net/")]).collect()}
     assert rows[300]["verdict"] == "block" and rows[301]["verdict"] == "allow"
     assert rows[300]["rule"] is None
+    labelled = spark.createDataFrame(
+        [(f"http://x{i}.io/cheap/pills", "block") for i in range(20)] + [(f"http://x{i}.io/books", "allow") for i in range(20)],
+        "url string, verdict string",
+    )
+    rows = {r["id"]: r for r in judge_urls(frame, [], labelled=labelled).collect()}
+    assert all(r["verdict"] == ("block" if i < 60 or i == 300 else "allow") for i, r in rows.items())
 
 
 def test_url_query(spark):

@@ -1,11 +1,13 @@
 """Token counts, packed pieces and token files against the tokenizers library."""
 
+import glob
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyarrow import orc
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -197,6 +199,8 @@ def test_files_cases(spark, tmp_path):
     tokens = read_tokens(spark, path)
     check_files(checksums(tokens).collect(), sorted(((i, t) for i, t, *_ in rows), key=lambda r: (r[0] is not None, r[0])))
     assert "EqualTo(doc_id,9)" in plan(tokens.where("doc_id = 9")).split("PushedFilters", 1)[1].split("\n", 1)[0]
+    (first, *_) = glob.glob(path.removeprefix("file://") + "/part-*.orc")
+    assert orc.ORCFile(first).row_index_stride == 1_000
     empty = new_folder(docs)
     write_tokens(docs.limit(0), WORDS, empty)
     assert checksums(read_tokens(spark, empty)).count() == 0
