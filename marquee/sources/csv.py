@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from marquee.operators.columns import union_relaxed
 log = logging.getLogger(__name__)
 
 YEAR_PATTERN = "merged_movies_data_*.csv"
-# Header lines read at the same time; each is one short job.
+# Header lines read at the same time.
 HEADER_READERS = 16
 
 
@@ -67,15 +69,38 @@ def list_year_files(spark: SparkSession, root: str, pattern: str = YEAR_PATTERN)
     return sorted(row.path for row in files.collect())
 
 
+def _plain_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Names in a file's first line, read without a job; None if only Spark's reader can tell them."""
+    jvm = spark.sparkContext._jvm
+    if path.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")):
+        return None
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    if not line or line.startswith("\ufeff") or line.count('"') % 2:
+        return None
+    names = tuple(next(csv.reader([line])))
+    plain = all(names) and len({n.lower() for n in names}) == len(names)
+    return names if plain else None
+
+
 def group_by_header(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> YearFiles:
-    """Group files by header line. Spark aligns files of one read by position."""
+    """Group files by header line. Spark aligns files of one read by position.
+
+    Headers are read from the files' first lines, at the same time and without
+    a job each. Spark's reader is asked only where the line alone does not tell
+    the names.
+    """
 
     def header(path: str) -> tuple[str, tuple[str, ...] | None, str]:
         try:
-            names = tuple(_reader(spark, multi_line).csv(path).columns)
+            names = _plain_header(spark, path) or tuple(_reader(spark, multi_line).csv(path).columns)
             return path, names or None, "no header"
-        except PySparkException as e:
-            return path, None, str(e).splitlines()[0]
+        except (PySparkException, Py4JError) as e:
+            return path, None, str(getattr(e, "java_exception", e)).splitlines()[0]
 
     groups: dict[tuple[str, ...], list[str]] = {}
     skipped: dict[str, str] = {}

@@ -15,6 +15,7 @@ from marquee.sinks import stage, write_arrow, write_csv, write_duplicates, write
 from marquee.sources import (
     UnreadableFiles, list_year_files, read_csv, read_csv_files, read_pages, read_years, scan_csv_files,
 )
+from marquee.sources.csv import group_by_header
 from marquee.streaming import current_catalogue, refresh_catalogue
 
 
@@ -244,3 +245,18 @@ def test_arrow_files_roll_and_fail_early(spark, tmp_path, monkeypatch):
     files = sorted((tmp_path / "rolled").glob("part-*.arrow"))
     assert len(files) == 5
     assert ds.dataset(files, format="arrow").to_table().column("id").to_pylist() == list(range(45))
+
+
+def test_headers_take_no_job_per_file(spark, tmp_path):
+    for year in range(1990, 2002):
+        put(tmp_path, year, ["a", "b c", 'd"e'] if year % 2 else ["b c", "a"], *[["1", "2", "3"]] * 2)
+    put(tmp_path, 2002, ["a", "", "a"], ["1", "2", "3"])
+    paths = list_year_files(spark, str(tmp_path))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        found = group_by_header(spark, paths)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(found.by_header, key=len) == [("b c", "a"), ("a", "b c", 'd"e'), ("a0", "_c1", "a2")]
+    assert len(tracker.getJobIdsForGroup("headers")) <= 1
