@@ -43,9 +43,19 @@ def extract_details(pages: DataFrame, on_error: str = "drop") -> DataFrame:
 
 
 class Built(NamedTuple):
+    """The tables, and the films and title pages that were left out, each with its ``_errors``."""
+
     listing: DataFrame
     details: DataFrame
     merged: DataFrame
+    failed_films: DataFrame
+    failed_pages: DataFrame
+
+
+def _split(rows: DataFrame, *ids: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that could be read, and ids and errors of those that could not."""
+    kept = [c for c in ("src_year", *ids, "_errors") if c in rows.columns]
+    return rows.filter(~F.col("_failed")).drop("_failed"), rows.filter("_failed").select(*kept)
 
 
 def build_catalogue(
@@ -57,15 +67,15 @@ def build_catalogue(
     parsed. The listing is used more than once, so it is stored first, unless
     ``store`` is False.
     """
-    listing = extract_listing(list_pages, base_url)
-    if store:
-        listing = stage(listing)
-    details = extract_details(restrict_pages(title_pages, listing))
+    films = extract_listing(list_pages, base_url, on_error="keep")
+    listing, failed_films = _split(stage(films) if store else films, "page_id")
+    pages = extract_details(restrict_pages(title_pages, listing), on_error="keep")
+    details, failed_pages = _split(pages, "link")
     per_year = "src_year" in listing.columns and "src_year" in details.columns
     merged = merge_details(
         listing.drop("_errors", "_item", "page_id"), details.drop("_errors"), per_year=per_year
     )
-    return Built(listing, details, merged)
+    return Built(listing, details, merged, failed_films, failed_pages)
 
 
 def write_built(built: Built, out: str) -> dict[str, int]:

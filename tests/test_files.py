@@ -2,6 +2,7 @@
 
 import csv
 import logging
+import os
 
 import pyarrow as pa
 import pyarrow.dataset as ds
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from marquee.plans import check_columns, clean_catalogue, normalise_catalogue, run_catalogue, to_catalogue_v2
 from marquee.plans.schemas import CATALOGUE
 from marquee.operators import lead_columns
-from marquee.sinks import stage, write_arrow, write_csv, write_duplicates, write_outputs, write_yearly
+from marquee.sinks import drop_staged, stage, write_arrow, write_csv, write_duplicates, write_outputs, write_yearly
 from marquee.sources import (
     UnreadableFiles, list_year_files, read_csv, read_csv_files, read_pages, read_years, scan_csv_files,
 )
@@ -247,6 +248,15 @@ def test_arrow_files_roll_and_fail_early(spark, tmp_path, monkeypatch):
     assert ds.dataset(files, format="arrow").to_table().column("id").to_pylist() == list(range(45))
 
 
+def test_staged_tables_can_be_dropped(spark):
+    drop_staged(spark)
+    kept = stage(spark.range(3))
+    (path,) = {f.rsplit("/", 1)[0] for f in kept.inputFiles()}
+    assert drop_staged(spark) == 1
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert drop_staged(spark) == 0
+
+
 def test_headers_take_no_job_per_file(spark, tmp_path):
     for year in range(1990, 2002):
         put(tmp_path, year, ["a", "b c", 'd"e'] if year % 2 else ["b c", "a"], *[["1", "2", "3"]] * 2)

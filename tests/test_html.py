@@ -167,3 +167,16 @@ def test_built_tables_are_written_by_year(spark, tmp_path):
     }
     cleaned = clean_catalogue(found)
     assert {r["id"] for r in cleaned.select("id").collect()} == {"tt1", "tt2"}
+
+
+def test_left_out_films_and_pages_are_told(spark):
+    odd = f'<ul class="&#{"1" * 5000};"><li>x'
+    lists = spark.createDataFrame(
+        [(0, f'<ul class="ipc-metadata-list">{item(1)}{item(2, href=False)}</ul>'), (1, odd)], "page_id int, html string"
+    )
+    titles = spark.createDataFrame([("https://h/title/tt1/?ref=1", "<p>")], "url string, html string")
+    built = build_catalogue(lists, titles, "https://h")
+    assert built.listing.count() == 1
+    assert sorted(r["page_id"] for r in built.failed_films.collect()) == [0, 1]
+    assert built.failed_pages.count() == 0
+    assert "_failed" not in built.merged.columns
