@@ -136,22 +136,26 @@ def fit(learned: pa.Table, settings: Settings) -> np.ndarray | None:
     Minimises the log loss of the noisy-or with an L1 penalty, by proximal
     steps with a rate per weight.
     """
-    lengths, hashed = learned.column("lengths"), learned.column("features")
     y = learned.column("toxic").to_numpy()
-    per_doc = np.array([len(x) for x in lengths.to_pylist()], np.int64)
+    lengths = learned.column("lengths").combine_chunks()
+    per_doc = np.diff(lengths.offsets.to_numpy())
     y, keep = y[per_doc > 0], per_doc[per_doc > 0]
     if not (y == 0).any() or not (y == 1).any():
         return None
-    n_words = lengths.combine_chunks().flatten().to_numpy().astype(np.int64)
-    code = hashed.combine_chunks().flatten().to_numpy().astype(np.int64)
-    doc_of = np.repeat(np.arange(len(keep)), keep)
-    sent_of = np.repeat(np.arange(len(n_words)), n_words)
+    n_words = lengths.flatten().to_numpy()
+    code = learned.column("features").combine_chunks().flatten().to_numpy()
+    doc_of = np.repeat(np.arange(len(keep), dtype=np.int32), keep)
     # Features of very few documents say nothing about others.
-    pairs = np.unique(code * len(keep) + doc_of[sent_of]) // len(keep)
-    often = np.bincount(pairs, minlength=1 << BITS) >= settings.least_docs
+    documents = np.zeros(1 << BITS, np.int32)
+    ends = np.cumsum(np.bincount(doc_of, n_words, len(keep)).astype(np.int64))
+    for start, end in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+        documents[np.unique(code[start:end])] += 1
+    often = documents >= settings.least_docs
+    names = np.flatnonzero(often)
     use = often[code]
-    names, at = np.unique(code[use], return_inverse=True)
-    sent_of = sent_of[use]
+    at = (np.cumsum(often, dtype=np.int32) - 1)[code[use]]
+    sent_of = np.repeat(np.arange(len(n_words), dtype=np.int32), n_words)[use]
+    del code, use
     w, bias = np.zeros(len(names)), settings.bias
     past, past_bias = np.full(len(names), 1e-8), 1e-8
     lasso = settings.lasso / (y == 1).sum()
