@@ -58,6 +58,29 @@ def refresh_catalogue(
     )
 
 
+def _folders(spark: SparkSession, store: str) -> list[str]:
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().toString() for f in system.listStatus(root) if f.getPath().getName().startswith(f"{BATCH}=")]
+
+
+def compact_store(spark: SparkSession, store: str) -> None:
+    """Replace the batches of a store by one row per id. Call it between runs of the refresh.
+
+    The compacted rows are written beside the batches, which are deleted
+    afterwards. If that is cut short, ids stand in both, which changes nothing:
+    the last row per id is the same.
+    """
+    old = _folders(spark, store)
+    names = {path.rsplit("/", 1)[1] for path in old}
+    target = next(n for n in (f"{BATCH}=-1", f"{BATCH}=-2", f"{BATCH}=-3") if n not in names)  # no stream writes these
+    rows = spark.read.option("mergeSchema", True).parquet(store).drop(BATCH)
+    keep_last(rows, "id", BOOKKEEPING).write.parquet(f"{store.rstrip('/')}/{target}")
+    for path in old:
+        file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(file, True)
+
+
 def current_catalogue(spark: SparkSession, store: str) -> DataFrame:
     """The catalogue over all batches: the last row per id, as in one batch run."""
     rows = spark.read.option("mergeSchema", True).parquet(store).drop(BATCH)

@@ -17,7 +17,7 @@ from marquee.sources import (
     UnreadableFiles, list_year_files, read_csv, read_csv_files, read_pages, read_years, scan_csv_files,
 )
 from marquee.sources.csv import group_by_header
-from marquee.streaming import current_catalogue, refresh_catalogue
+from marquee.streaming import compact_store, current_catalogue, refresh_catalogue
 
 
 def put(root, year, header, *rows, name=None):
@@ -219,6 +219,11 @@ def test_staged_frame(spark):
 def test_refresh_equals_batch(spark, years, tmp_path):
     store, state = str(tmp_path / "store"), str(tmp_path / "state")
     refresh_catalogue(spark, str(years), store, state, files_per_batch=1).awaitTermination()
+    before = sorted(map(repr, current_catalogue(spark, store).collect()))
+    for _ in range(2):
+        compact_store(spark, store)
+        assert len(list((tmp_path / "store").glob("batch=*"))) == 1
+        assert sorted(map(repr, current_catalogue(spark, store).collect())) == before
     put(years, 2001, ["Title", "Year", "Movie Link"], ["1. B2", "2001", "https://h/title/tt2/"], ["2. D", "x", ""])
     refresh_catalogue(spark, str(years), store, state).awaitTermination()
     refresh_catalogue(spark, str(years), store, state).awaitTermination()  # nothing new
@@ -229,6 +234,20 @@ def test_refresh_equals_batch(spark, years, tmp_path):
     assert sorted(map(repr, current.select(*columns).collect())) == sorted(map(repr, expected.collect()))
 
 
+def test_refresh_stops_at_an_unreadable_file(spark, years, tmp_path):
+    """The batch is not committed, so the file is read once it is whole."""
+    store, state = str(tmp_path / "store"), str(tmp_path / "state")
+    (years / "2002").mkdir()
+    broken = years / "2002" / "merged_movies_data_2002.csv"
+    broken.write_text("\n")
+    query = refresh_catalogue(spark, str(years), store, state)
+    with pytest.raises(Exception, match="no header"):
+        query.awaitTermination()
+    broken.write_text("Title,Year,Movie Link\n1. New,2002,https://h/title/tt99/\n")
+    refresh_catalogue(spark, str(years), store, state).awaitTermination()
+    assert "tt99" in {r["id"] for r in current_catalogue(spark, store).collect()}
+
+
 def test_arrow_files_roll_and_fail_early(spark, tmp_path, monkeypatch):
     from marquee.sinks import arrow
 
