@@ -42,7 +42,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclass(frozen=True)
 class Settings:
-    """problem: pieces of one packing problem, about; islands, epochs, children: how long is searched."""
+    """problem: pieces of one packing problem, about; islands, epochs, children: how long is searched;
+    per_task: islands that a task works on."""
 
     capacity: int = 2048
     problem: int = 4096
@@ -52,6 +53,7 @@ class Settings:
     children: int = 40
     elites: int = 2
     injected: float = 0.08
+    per_task: int = 8
     seed: int = 7
 
 
@@ -269,7 +271,7 @@ def pack(pieces: DataFrame, settings: Settings = Settings()) -> DataFrame:
             )
             own = state.join(guests, ["problem", "island"]).select("problem", "island", F.concat("elites", "guest").alias("elites"))
             rows = lengths.join(own, "problem").select("problem", "island", "lengths", "elites")
-        deal = rows.repartition(max(1, n_problems * settings.islands // 2), "problem", "island")
+        deal = rows.repartition(-(-n_problems * settings.islands // settings.per_task), "problem", "island")
         state = stage(deal.mapInArrow(epoch_of(epoch), STATE))
     best = state.select("problem", F.explode("elites").alias("e")).groupBy("problem").agg(
         F.max_by("e.bins", F.struct(-F.col("e.n_bins"), F.col("e.fitness"))).alias("bins")
