@@ -60,7 +60,7 @@ def slices(batches, most_bytes: int = 8 << 20, rows: int = 512):
         at = 0
         while at < batch.num_rows:
             n = min(rows, batch.num_rows - at)
-            while n > 1 and batch.slice(at, n).get_total_buffer_size() > 0 and batch.slice(at, n).nbytes > most_bytes:
+            while n > 1 and batch.slice(at, n).nbytes > most_bytes:
                 n //= 2
             yield batch.slice(at, n)
             at += n

@@ -55,7 +55,7 @@ def weights_of(counts: Mapping[str | None, int], given: Mapping[str | None, floa
     if any(w < 0 for w in given.values()):
         raise ValueError("weights cannot be negative")
     return {
-        s: Fraction(given[s]).limit_denominator(1 << 20) if s in given else Fraction(math.isqrt(n << 20), 1 << 10)
+        s: Fraction(given[s]) if s in given else Fraction(math.isqrt(n << 20), 1 << 10)
         for s, n in counts.items()
     }
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.common import as_bytes, slices
+from marquee.llm.word_ids import byte_letters
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -278,13 +279,6 @@ class Merger:
         return total
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable stand-ins that vocabulary files use for bytes."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[tuple[bytes, bytes], int], list[str]]:
     """Tokens, merge ranks and added tokens of a byte-level BPE file. Refuses files of another kind."""
     with open(path, encoding="utf-8") as f:
@@ -296,7 +290,7 @@ def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[tuple[bytes, byte
         raise ValueError("only plain byte-level BPE with the usual pattern can be compiled")
     if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
         raise ValueError("only added tokens that match as they are can be compiled")
-    letters = byte_letters()
+    letters = {c: b for b, c in byte_letters().items()}
     added = [t["content"] for t in spec["added_tokens"]]
     as_bytes = lambda s: bytes(letters[c] for c in s)
     pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
