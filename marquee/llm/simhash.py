@@ -83,12 +83,9 @@ def links(distinct: DataFrame) -> DataFrame:
     return met.where("bit_count(a ^ b) <= 2").distinct()
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """One row per row of ``docs``: number, id, ``fp``, the least id of its component, and whether it is the row that stays."""
-    fps = fingerprints(docs, id_col, text_col, width)
-    order = F.struct(F.col("id").isNull().alias("none"), "id", ROW)
-    first = stage(fps.groupBy("fp").agg(F.min(order).alias("first")))
-    joined = sized(components(links(first)), 16)
+def grouped(fps: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of ``fps`` with the least id of their component; ``first``: the first row of each ``fp``; ``pairs``: what links them."""
+    joined = sized(components(pairs), 16)
     known = stage(
         first.join(joined, first["fp"] == joined["node"], "left")
         .select("fp", "first", F.coalesce("component", "fp").alias("component"))
@@ -100,6 +97,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """One row per row of ``docs``: number, id, ``fp``, the least id of its component, and whether it is the row that stays."""
+    fps = fingerprints(docs, id_col, text_col, width)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", ROW)
+    first = stage(fps.groupBy("fp").agg(F.min(order).alias("first")))
+    return grouped(fps, first, links(first))
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """One row of each component, with all its columns. Texts do not move.
 
