@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, empty_text, numbered, sized, stage
+from marquee.llm.common import ROW, empty_text, numbered, placed, sized, stage
 
 #: Slots of the filter for each row; about 1 in so many unique rows is grouped needlessly.
 SLOTS_PER_ROW = 32
@@ -46,7 +46,7 @@ def repeated_bits(digests: DataFrame, slots: int) -> DataFrame:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One narrow row per row of ``docs``: its number, id, digest, the id kept of its group, the group's size, kept."""
     digests = stage(
-        numbered(docs.select(F.col(id_col).alias("id"), F.sha2(normal_text(F.col(text_col)), 256).alias("sha")))
+        numbered(docs, F.col(id_col).alias("id"), F.sha2(normal_text(F.col(text_col)), 256).alias("sha"))
     )
     slots = max(64, digests.count() * SLOTS_PER_ROW)
     bits = sized(stage(repeated_bits(digests, slots)), 16)
@@ -71,7 +71,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Texts do not move.
 
-    ``docs`` is read twice and must come from files (see ``numbered``).
+    ``docs`` is read twice (see ``placed``).
     """
+    docs = placed(docs)
     dropped = stage(exact_groups(docs, id_col, text_col).where("not kept").select(ROW))
-    return numbered(docs).join(sized(dropped, 16), ROW, "left_anti").drop(ROW)
+    return docs.join(sized(dropped, 16), ROW, "left_anti").drop(ROW)

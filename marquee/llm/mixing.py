@@ -33,7 +33,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, numbered, sized, stage
+from marquee.llm.common import ROW, numbered, placed, sized, stage
 
 
 #: Name of the place while rows are put in order; no input column may have it.
@@ -102,7 +102,7 @@ def mix(
     """One narrow row per row of ``docs``: number, id, source, block, slot, and its place in the mixture, from 0."""
     spark = docs.sparkSession
     rows = stage(
-        numbered(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source")))
+        numbered(docs, F.col(id_col).alias("id"), F.col(source_col).alias("source"))
         .withColumn("hash", F.xxhash64(F.lit(settings.seed), "id", ROW))
     )
     # One row per source. Mixing weights are set by source, so sources are few.
@@ -149,7 +149,8 @@ def mix(
 def mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None, settings: Settings = Settings()) -> DataFrame:
     """``docs`` in the order of the mixture; written files keep it.
 
-    ``docs`` is read twice and must come from files (see ``numbered``).
+    ``docs`` is read twice (see ``placed``).
     """
+    docs = placed(docs)
     places = stage(mix(docs, weights, settings).select(ROW, F.col("position").alias(PLACE)))
-    return numbered(docs).join(sized(places, 24), ROW).orderBy(PLACE).drop(ROW, PLACE)
+    return docs.join(sized(places, 24), ROW).orderBy(PLACE).drop(ROW, PLACE)

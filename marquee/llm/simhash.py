@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import ROW, as_bytes, numbered, sized, slices, stage
+from marquee.llm.common import ROW, as_bytes, numbered, placed, sized, slices, stage
 from marquee.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -58,7 +58,7 @@ def fingerprint(text: bytes, width: int) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """Number, id and fingerprint ``fp`` of each row, written as a table."""
-    rows = numbered(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    rows = numbered(docs, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def task(batches):
         for batch in slices(batches):
@@ -108,7 +108,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """One row of each component, with all its columns. Texts do not move.
 
-    ``docs`` is read twice and must come from files (see ``numbered``).
+    ``docs`` is read twice (see ``placed``).
     """
+    docs = placed(docs)
     dropped = stage(near_groups(docs, id_col, text_col, width).where("not kept").select(ROW))
-    return numbered(docs).join(sized(dropped, 16), ROW, "left_anti").drop(ROW)
+    return docs.join(sized(dropped, 16), ROW, "left_anti").drop(ROW)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import ROW, numbered, sized, slices, stage
+from marquee.llm.common import ROW, numbered, placed, sized, slices, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -254,8 +254,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that score below 0.5, with all their columns. Texts do not move.
 
-    ``docs`` is read twice and must come from files (see ``numbered``).
+    ``docs`` is read twice (see ``placed``).
     """
     model = train(docs, labels, settings)
-    dropped = stage(scored(numbered(docs.select("text")), model, settings).where("score >= 0.5").select(ROW))
-    return numbered(docs).join(sized(dropped, 16), ROW, "left_anti").drop(ROW)
+    docs = placed(docs)
+    dropped = stage(scored(numbered(docs, "text"), model, settings).where("score >= 0.5").select(ROW))
+    return docs.join(sized(dropped, 16), ROW, "left_anti").drop(ROW)
