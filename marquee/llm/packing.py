@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences by a grouping genetic algorithm on islands.
 
 Documents are tokenized and cut into pieces of at most ``Settings.capacity``
-tokens. The pieces are dealt by hash to packing problems of some thousand
+tokens. The pieces are dealt by hash, or in the order of the documents by
+consecutive stretches (``pack_in_order``), to packing problems of some thousand
 pieces, small enough for one task and large enough that a problem's last, half
 empty sequence does not count. Each problem is worked on by several islands.
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import ROW, numbered, slices, stage
+from marquee.llm.common import FILE_BITS, ROW, numbered, placed, slices, stage
 from marquee.llm.word_ids import Shared
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -89,7 +90,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], PIECES.names)
 
-    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(ROW, "doc_id", "text")
+    rows = numbered(docs, F.col("doc_id").cast("long").alias("doc_id"), "text").select(ROW, "doc_id", "text")
     return stage(rows.mapInArrow(task, PIECES))
 
 
@@ -228,14 +229,39 @@ def evolve(lengths: list[int], seeds: list[list[int]], settings: Settings, islan
     return sorted(population, key=key)[: settings.elites]
 
 
-def pack(pieces: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``pieces`` (staged, columns of ``PIECES``) with ``sequence_id`` and ``offset``."""
+def in_order(pieces: DataFrame, n_problems: int, most: int = 50_000) -> DataFrame:
+    """``pieces`` with ``problem``: equal stretches of them in the order of row number and piece.
+
+    Numbers leave gaps, between files and where rows were dropped. So ranges of
+    ``2 ** wide`` numbers are counted, as fine as about ``most`` ranges allow,
+    and only the pieces of a range are ranked together.
+    """
+    spans = pieces.groupBy(F.shiftright(ROW, FILE_BITS)).agg((F.max(ROW) - F.min(ROW)).alias("span")).agg(F.sum("span")).first()[0]
+    wide = max(6, ((spans or 0) // most).bit_length())
+    ranged = pieces.withColumn("range", F.shiftright(ROW, wide))
+    starts, before = [], 0
+    for r in sorted(ranged.groupBy("range").count().collect(), key=lambda r: r["range"]):
+        starts.append((r["range"], before))
+        before += r["count"]
+    starts = F.broadcast(pieces.sparkSession.createDataFrame(starts, "range long, first long"))
+    ranked = ranged.selectExpr("*", f"row_number() over (partition by range order by {ROW}, piece) - 1 as rank").join(starts, "range")
+    size = max(1, -(-before // n_problems))
+    return ranked.select(*pieces.columns, F.expr(f"(first + rank) div {size}").alias("problem"))
+
+
+def pack(pieces: DataFrame, settings: Settings = Settings(), ordered: bool = False) -> DataFrame:
+    """``pieces`` (staged, columns of ``PIECES``) with ``sequence_id`` and ``offset``.
+
+    If ``ordered``, problems are stretches of the pieces in the order of their
+    row numbers, and sequences are numbered by problem in that order.
+    """
     n_problems = max(1, round(pieces.count() / settings.problem))
     # The hash deals single pieces, so every problem gets about as many, whatever the ids are.
     problem = F.pmod(F.xxhash64(ROW, "piece"), F.lit(n_problems))
+    dealt = in_order(pieces, n_problems) if ordered else pieces.withColumn("problem", problem)
     item = F.struct(ROW, "piece", "doc_id", "start", "length", "ids_crc32")
     problems = stage(
-        pieces.groupBy(problem.alias("problem")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+        dealt.groupBy("problem").agg(F.sort_array(F.collect_list(item)).alias("items"))
     )
     lengths = problems.select("problem", F.col("items.length").alias("lengths"))
     islands = F.explode(F.sequence(F.lit(0), F.lit(settings.islands - 1))).alias("island")
@@ -305,3 +331,8 @@ def _layout(capacity: int):
 
 def pack_documents(docs: DataFrame, tokenizer: str, settings: Settings = Settings()) -> DataFrame:
     return pack(pieces_of(docs, tokenizer, settings.capacity), settings).drop(ROW)
+
+
+def pack_in_order(docs: DataFrame, tokenizer: str, settings: Settings = Settings()) -> DataFrame:
+    """As ``pack_documents``, but sequences follow the order of ``docs`` in their files, by stretches of about ``problem`` pieces."""
+    return pack(pieces_of(placed(docs), tokenizer, settings.capacity), settings, ordered=True).drop(ROW)
