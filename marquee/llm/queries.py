@@ -11,6 +11,7 @@ from marquee.llm.common import table
 from marquee.llm.exact_dedup import exact_groups
 from marquee.llm.language import identify, records
 from marquee.llm.language import train as train_language
+from marquee.llm.minhash import similar_groups
 from marquee.llm.mixing import mix
 from marquee.llm.packing import pack_documents
 from marquee.llm.perplexity import judge_quality
@@ -118,6 +119,15 @@ def op9_token_files(spark, sf):
     return checksums(read_tokens(spark, path))
 
 
+@query
+def op12_minhash(spark, sf):
+    rows = similar_groups(table(spark, sf, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": r"""
         WITH t AS (
