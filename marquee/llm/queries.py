@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.common import table
+from marquee.llm.divergence import audit
 from marquee.llm.exact_dedup import exact_groups
 from marquee.llm.language import identify, records
 from marquee.llm.language import train as train_language
@@ -119,6 +120,11 @@ def op9_token_files(spark, sf):
     return checksums(read_tokens(spark, path))
 
 
+@query
+def op11_divergence(spark, sf):
+    return audit(table(spark, sf, "documents"))
+
+
 @query
 def op12_minhash(spark, sf):
     rows = similar_groups(table(spark, sf, "documents"))
@@ -138,4 +144,38 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op11_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), groups AS (SELECT DISTINCT lang, source FROM d),
+        words AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+        kept AS (
+            SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT row) >= 30
+        ), own AS (
+            SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+        total AS (SELECT lang, source, sum(n) AS n FROM own GROUP BY ALL),
+        shares AS (
+            SELECT lang, source, term, coalesce(own.n, 0) AS n,
+                   1 + (1000000000::HUGEINT * (coalesce(own.n, 0) + 5)) // (coalesce(total.n, 0) + 5 * v.v)::HUGEINT AS p,
+                   1 + (1000000000::HUGEINT * (kept.n + 5)) // (v.n + 5 * v.v)::HUGEINT AS q
+            FROM groups JOIN kept USING (lang) JOIN v USING (lang)
+            LEFT JOIN total USING (lang, source) LEFT JOIN own USING (lang, source, term)
+        ), sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q
+        )
+        SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+        FROM parts QUALIFY part = 'pair' OR rank <= 50
+    """,
 }
