@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.llm.alignment import align, pair_counts, rate
 from marquee.llm.common import table
 from marquee.llm.divergence import audit
 from marquee.llm.exact_dedup import exact_groups
@@ -134,6 +135,14 @@ def op12_minhash(spark, sf):
     )
 
 
+@query
+def op13_alignment(spark, sf):
+    aligned = align(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return rate(aligned, pair_counts(aligned)).select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": r"""
         WITH t AS (
