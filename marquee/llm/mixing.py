@@ -33,7 +33,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, numbered, placed, sized, stage
+from marquee.llm.common import ROW, placed, sized, stage
 
 
 #: Name of the place while rows are put in order; no input column may have it.
@@ -99,10 +99,13 @@ def mix(
     docs: DataFrame, weights: Mapping[str | None, float] | None = None, settings: Settings = Settings(),
     id_col: str = "doc_id", source_col: str = "source",
 ) -> DataFrame:
-    """One narrow row per row of ``docs``: number, id, source, block, slot, and its place in the mixture, from 0."""
+    """One narrow row per row of ``docs``: number, id, source, block, slot, and its place in the mixture, from 0.
+
+    The order is the same on every reading of the same files (see ``placed``).
+    """
     spark = docs.sparkSession
     rows = stage(
-        numbered(docs, F.col(id_col).alias("id"), F.col(source_col).alias("source"))
+        placed(docs).select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), ROW)
         .withColumn("hash", F.xxhash64(F.lit(settings.seed), "id", ROW))
     )
     # One row per source. Mixing weights are set by source, so sources are few.

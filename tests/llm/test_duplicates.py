@@ -80,8 +80,9 @@ def test_exact_empty(spark, tmp_path):
     assert exact_groups(frame(spark, [], tmp_path)).count() == 0
 
 
-def test_exact_query(spark):
-    assert compare(spark, connect(SF), "op3_exact_dedup", SF) is None
+@pytest.mark.parametrize("name", ["op3_exact_dedup", "op11_divergence"])
+def test_queries_by_sql(spark, name):
+    assert compare(spark, connect(SF), name, SF) is None
 
 
 def test_near_cases(spark, tmp_path):

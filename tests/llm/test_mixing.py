@@ -73,6 +73,18 @@ def test_order_is_kept_in_files(spark, tmp_path):
     assert mix(docs.limit(0)).count() == 0
 
 
+def test_order_does_not_depend_on_splits(spark, tmp_path):
+    docs = write(spark, ROWS * 20, tmp_path / "docs")
+    orders = []
+    for size in ("128m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            orders.append([tuple(r) for r in mix(docs, settings=Settings(blocks=50)).orderBy("position").collect()])
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert orders[0] == orders[1]
+
+
 def test_query(spark):
     rows = entry.queries()["op5_mixing"](spark, SF).collect()
     assert sorted(r["position"] for r in rows) == list(range(table(spark, SF, "documents").count()))
