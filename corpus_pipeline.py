@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.common import shared_folder, table
 from marquee.llm.exact_dedup import drop_exact_copies
-from marquee.llm.minhash import drop_similar
 from marquee.llm.mixing import mixed_order
 from marquee.llm.packing import pack_in_order
 from marquee.llm.queries import vocabulary
+from marquee.llm.simhash import drop_near_copies
 from marquee.llm.toxicity import drop_toxic
 
 
@@ -27,8 +27,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: Jaccard similarity of five-word shingles of at least 0.8."""
-    return drop_similar(docs)
+    """One document of each group linked by SimHash: three-word shingles, fingerprints at most two bits apart."""
+    return drop_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
