@@ -15,11 +15,13 @@ components, so a bucket's pairs are never all listed:
 
 * each node is compared with the least node of its bucket and with the one
   before it (buckets are cut into stretches of bounded size for that);
-* buckets that then still hold several components are searched for links
-  between these. A shingle that no other node of such buckets has cannot be in
-  a common part, so a node's number of other shingles bounds every similarity
-  that it can reach. Only pairs of different components whose bound and
-  signature allow the threshold are compared. Nothing is left out by that.
+* of the nodes whose buckets then still hold several components, shingles are
+  ordered by how many of these nodes have them. Similar sets have one of their
+  rarest shingles in common, and what comes after it bounds all that they can
+  have in common. So nodes meet at their rarest shingles, and only pairs of
+  different components whose bound and signature allow the threshold are
+  compared. Nothing is left out by that, and nodes that share frequent shingles
+  only do not meet.
 
 Defined cases: A-Z are lower-cased, words are runs of other than space and tab
 to carriage return. A text with fewer words is one shingle. A text without
@@ -38,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -223,23 +225,27 @@ def links(docs: DataFrame, nodes: DataFrame, text_col: str, settings: Settings)
 
     joined = sized(stage(components(found)), 16)
     parts = stage(
-        shared.select("bucket", F.col("node").alias("at")).join(joined, F.col("at") == F.col("node"), "left")
-        .select("bucket", F.col("at").alias("node"), F.coalesce("component", "at").alias("part"))
+        shared.select("bucket", "node").join(joined.select("node", "component"), "node", "left")
+        .select("bucket", "node", F.coalesce("component", "node").alias("part"))
     )
     several = parts.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
-    open_ = stage(parts.join(sized(stage(several), 8), "bucket", "left_semi"))
-    # Shingles that one node alone has, of the nodes that may still get links.
-    spread = sets.join(sized(stage(open_.select("node").distinct()), 8), "node").select("node", F.explode("set").alias("shingle"))
-    alone = spread.groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
-    alone = sized(stage(alone.groupBy("node").agg(F.count("*").alias("alone"))), 16)
-    able = stage(
-        open_.join(facts, "node").join(alone, "node", "left")
-        .withColumn("u", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
-        .where(f"100 * u >= {settings.least} * n")
+    open_ = parts.join(sized(stage(several), 8), "bucket", "left_semi")
+    asked = stage(open_.select("node", "part").distinct())
+    # The rarest shingles of the nodes that may still get links, as many as two similar sets cannot both lack in common.
+    spread = sets.join(sized(asked, 16), "node").select("node", F.size("set").alias("n"), F.explode("set").alias("shingle"))
+    known = stage(spread.groupBy("shingle").agg(F.count("*").alias("k")))
+    rarest = Window.partitionBy("node").orderBy("k", "shingle")
+    first = (
+        spread.join(known, "shingle").withColumn("at", F.row_number().over(rarest) - 1)
+        .where(f"k > 1 and at <= n - ({settings.least} * n + 99) div 100").select("shingle", "node", "at")
     )
-    rest = able.alias("l").join(able.alias("r"), F.expr(
-        f"l.bucket = r.bucket and l.node < r.node and l.part <> r.part and {_allowed('least(l.u, r.u)', settings)}"
+    first = stage(first.join(sized(asked, 16), "node").join(facts, "node"))
+    enough = (
+        f"({100 + settings.least}) * least(l.n - l.at, r.n - r.at) >= {settings.least} * (l.n + r.n)"
         f" and {_apart(settings)} <= {settings.most_apart}"
+    )
+    rest = first.alias("l").join(first.alias("r"), F.expr(
+        f"l.shingle = r.shingle and l.node < r.node and l.part <> r.part and {enough}"
     )).selectExpr("l.node as a", "r.node as b").distinct()
     rest = stage(rest.join(alike, ["a", "b"], "left_anti"))
     return found.unionByName(confirmed(rest, sets, settings))
