@@ -34,6 +34,7 @@ import json
 import os
 import re
 import sys
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,8 +49,10 @@ from marquee.llm.word_ids import byte_letters
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Chunks whose ids a task remembers.
-MEMO = 200_000
+#: Words that a worker process remembers, twice: those seen lately and those before.
+MEMO = 250_000
+#: Marks that are cut from the end of a word, where no piece joins the two.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Chunks: a single space or line break begins one if other characters stand on both sides.
 CHUNKS = re.compile(r"\s+\S+(?:(?:\s\s+|[^\S \n])\S+)*(?:\s+\Z)?|\s+\Z").findall
 #: Blanks that the short way of cutting does not know.
@@ -88,10 +91,17 @@ class Tokenizers:
         ]
         self.blank = self.b.piece_to_id("▁")
         self.memo: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.tails: dict[str, tuple[bytes, bytes]] = {}
         self.odd = False
+        self.letters = byte_letters()
+        # Neighbours in some piece: between any others, B always cuts.
+        self.met = {pair for i, p in enumerate(pieces) if not self.b.is_byte(i) for pair in zip(p, p[1:])}
         # What chunks rely on: no piece of B reaches over a chunk's beginning, and probes come out the same.
-        self.cut = not any("▁" in p[1:].lstrip("▁") or "\n" in p for p in pieces) and all(
-            self.chunked(s) == self.whole(s) for s in (" a b", " A.b 1's\nx  y \n\n z\t", " \né 日本 ", "  <s>x</s> y's")
+        self.cut = array("I").itemsize == 4 and sys.byteorder == "little" and self.blank == self.b.encode("\nx")[0]
+        self.cut = self.cut and not any("▁" in p[1:].lstrip("▁") or "\n" in p for p in pieces) and all(
+            self.chunked(s) == self.whole(s)
+            for s in (" a b", " A.b 1's\nx  y \n\n z\t", " \né 日本 ", "  <s>x</s> y's", " Çaß, an?! ab.\" tasks> ł: ab\nab.")
         )
 
     def whole(self, text: str) -> tuple[bytes, bytes]:
@@ -99,19 +109,50 @@ class Tokenizers:
         a = self.a.encode(text, add_special_tokens=False).ids
         return np.array(a, "<u4").tobytes(), np.array(self.b.encode(text[1:]), "<u4").tobytes()
 
-    def of_chunk(self, key: str) -> tuple[bytes, bytes]:
-        """Packed ids of a chunk: the key after a space, or a key that begins with its line break."""
-        text = key if key[0] == "\n" else " " + key
-        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(key)
-        if text is key:
-            if b[0] != self.blank:
-                raise ValueError("a line break must be a token of its own")
-            del b[0]
-        found = np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()
+    def packed(self, text: str, a: list[int], b: list[int]) -> tuple[bytes, bytes]:
+        """The ids of a part of a text, packed; notes if their bytes are not the text's."""
         raw = text.encode()
         if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
-            self.odd = True  # not remembered, so that each text with it is noticed
-        elif len(key) < 64 and len(self.memo) < MEMO:
+            self.odd = True
+        return array("I", a).tobytes(), array("I", b).tobytes()
+
+    def of_word(self, key: str) -> tuple[bytes, bytes]:
+        """Packed ids of Latin letters after a space."""
+        found = self.memo.get(key) or self.old.get(key)
+        if found is None:
+            shown = key if key.isascii() else key.encode().decode("latin-1").translate(self.letters)
+            a = [t.id for t in self.a.model.tokenize(self.letters[32] + shown)]
+            found = self.packed(" " + key, a, self.b.encode(key))
+        if len(key) < 64 and not self.odd:
+            self.memo[key] = found
+        return found
+
+    def of_marks(self, marks: str) -> tuple[bytes, bytes]:
+        """Packed ids of marks after a letter."""
+        found = self.tails.get(marks)
+        if found is None:
+            # A line break is a token of its own, after the mark that B puts first.
+            found = self.packed(marks, self.a.encode(marks, add_special_tokens=False).ids, self.b.encode("\n" + marks)[2:])
+            if len(self.tails) < 10_000 and not self.odd:
+                self.tails[marks] = found
+        return found
+
+    def of_chunk(self, key: str) -> tuple[bytes, bytes]:
+        """Packed ids of a chunk: the key after a space, or a key that begins with its line break."""
+        word = key.rstrip(MARKS)
+        if word.isalpha() and max(word) < "\u0250":
+            if len(word) == len(key):
+                return self.of_word(key)
+            if len(key) - len(word) <= 8 and (word[-1], key[len(word)]) not in self.met:
+                a, b = self.of_word(word)
+                more = self.of_marks(key[len(word):])
+                return a + more[0], b + more[1]
+        found = self.old.get(key)
+        if found is None:
+            text = key if key[0] == "\n" else " " + key
+            b = self.b.encode(key)
+            found = self.packed(text, self.a.encode(text, add_special_tokens=False).ids, b[1:] if text is key else b)
+        if len(key) < 64 and not self.odd:  # else each text with it is noticed
             self.memo[key] = found
         return found
 
@@ -141,6 +182,8 @@ class Tokenizers:
         """Ids of A and B; None if the text has no tokens."""
         if not text:
             return None
+        if len(self.memo) > MEMO:
+            self.old, self.memo = self.memo, {}  # words that are still in use come back from there
         # The mark that stands for a space in pieces can join chunks.
         cut = self.cut and "▁" not in text
         text, self.odd = " " + text, not cut

@@ -97,7 +97,7 @@ def test_chunks_give_the_ids_of_whole_texts():
         both = Tokenizers(x.read(), y.read())
     assert both.cut
     draw = random.Random(3)
-    parts = [" ", "  ", "\n", "\t", "\r", " ", "\x1c", "a", "The", "don't", "é", "1", ".", "<s>", "▁", "日"]
+    parts = [" ", "  ", "\n", "\t", "\r", " ", "\x1c", "a", "The", "don't", "é", "1", ".", "<s>", "▁", "日", ",", ").", "für", "łódź", "s>", "k>", "ʒa"]
     texts = [t for t in TEXTS if t] + ["".join(draw.choices(parts, k=draw.randrange(1, 12))) for _ in range(3_000)]
     for text in texts:
         if "▁" in text:
