@@ -1,6 +1,6 @@
 """Column-to-column functions; all of them are built-in Spark expressions."""
 
-from marquee.functions.dates import DATE_FORMATS, date_or_year, parse_release_date
+from marquee.functions.dates import DATE_FORMATS, date_or_year, parse_release_date, text_shape, unread_date
 from marquee.functions.lists import (
     is_list_text, list_text_or_null, list_to_text, malformed_list, text_to_list,
 )

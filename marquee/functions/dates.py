@@ -52,10 +52,14 @@ _DOTTED = r"(?i)\b([a-z]{3})(?:t\b)?\.? (?=\d)"
 SEPARATORS = (" ", "/", "-", ".")
 
 
-def date_of(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+#: Years of two digits lie in the hundred years up to this one.
+LAST_SHORT_YEAR = 2068
+
+
+def date_of(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS, last_short: int = LAST_SHORT_YEAR) -> Column:
     """Trimmed date text to DATE by the first format that fits.
 
-    Years of two digits lie less than 50 years ahead.
+    Years of two digits lie in the hundred years up to ``last_short``, whenever it is read.
     """
     odd = text.rlike(r"(?i)[a-z]\. \d|\bsept \d|\d(?:st|nd|rd|th)\b")
     text = F.when(odd, F.regexp_replace(F.regexp_replace(text, _ORDINAL, "$1"), _DOTTED, "$1 ")).otherwise(text)
@@ -64,7 +68,9 @@ def date_of(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) ->
         sep = next((s for s in SEPARATORS if s in pattern), "")
         date = F.try_to_date(text, pattern)
         if "yyyy" not in pattern:
-            date = F.when(F.year(date) >= F.year(F.current_date()) + 50, F.add_months(date, -1200)).otherwise(date)
+            # Spark reads them as 2000 to 2099.
+            date = F.add_months(date, 12 * (last_short // 100 * 100 - 2000))
+            date = F.when(F.year(date) > last_short, F.add_months(date, -1200)).otherwise(date)
         tried[sep].append(F.when(text.rlike(shape), date))
     first = {sep: F.coalesce(*found, F.lit(None).cast("date")) for sep, found in tried.items()}
     date = F.when(text.contains(SEPARATORS[0]), first[SEPARATORS[0]])
@@ -78,6 +84,18 @@ def parse_release_date(c: Column, formats: Sequence[tuple[str, str]] = DATE_FORM
     return date_of(trim_ws(c), formats)
 
 
+def text_shape(text: Column, most: int = 80) -> Column:
+    """The text with letters as ``a``, digits as ``9`` and runs of blanks as one space, cut to ``most`` characters."""
+    shape = F.regexp_replace(F.regexp_replace(text, r"\p{L}", "a"), r"\p{Nd}", "9")
+    return F.substring(F.regexp_replace(shape, r"[\s\x{A0}]+", " "), 1, most)
+
+
+def unread_date(c: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+    """Whether a text that is not blank is no date in any format."""
+    text = trim_ws(c)
+    return (text != "") & date_of(text, formats).isNull()
+
+
 def year_of(text: Column, lenient: bool = False) -> Column:
     """Trimmed whole-number text to INT; ``lenient`` also takes ``1999.0``."""
     shape = r"^[+-]?\d+(\.0*)?\z" if lenient else r"^[+-]?\d+\z"

@@ -16,6 +16,6 @@ from marquee.operators.joins import lookup, merge_details, restrict_pages
 from marquee.operators.profile import (
     analyze_column, describe_all, describe_numeric, profile, unique_values,
 )
-from marquee.operators.quality import validate
+from marquee.operators.quality import unread_dates, validate
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -106,24 +106,32 @@ class _Page:
 
     def _scan(self, html: str) -> None:
         pieces, opened = self.pieces, [(0, "")]
+        # Depths of the open elements of each tag, and of those that bound a
+        # search: what an end tag closes is looked up, however deep a page is.
+        depths: dict[str, list[int]] = {}
+        barriers: list[int] = []
 
         def close_to(depth: int) -> None:
-            for i, _ in opened[depth:]:
+            for i, tag in opened[depth:]:
                 self.end[i], self.text_to[i] = len(self.raw) - 1, len(pieces)
+                if tag:
+                    depths[tag].pop()
+                    if tag in SCOPE:
+                        barriers.pop()
             del opened[depth:]
 
-        def close(tags, scope=frozenset()) -> None:
-            for depth in range(len(opened) - 1, 0, -1):
-                tag = opened[depth][1]
-                if tag in tags:
-                    close_to(depth)
-                    return
-                if tag in scope:
-                    return
+        def close(tags: tuple[str, ...], scoped: bool = False) -> None:
+            depth = max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+            if depth and not (scoped and barriers and barriers[-1] > depth):
+                close_to(depth)
 
+        # Beyond the last ">" nothing is a tag, so no search for one runs on to the end again and again.
+        last = html.rfind(">")
         at, size = 0, len(html)
         while at < size:
             mark = html.find("<", at)
+            if mark > last:
+                mark = -1
             if mark != at:
                 pieces.append(html[at:mark] if mark >= 0 else html[at:])
                 if mark < 0:
@@ -148,9 +156,9 @@ class _Page:
                 continue
             tag, at = found[1].lower(), found.end()
             if tag in ENDS_PARAGRAPH:
-                close(("p",), SCOPE)
+                close(("p",), True)
             if tag in SIBLINGS:
-                close(SIBLINGS[tag], SCOPE)
+                close(SIBLINGS[tag], True)
             i = len(self.raw)
             self.raw.append(found[2])
             self.end.append(i)
@@ -161,6 +169,9 @@ class _Page:
                 stop = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, at)
                 at = stop.end() if stop else size
             elif tag not in VOID and not html.startswith("/>", at - 2):
+                depths.setdefault(tag, []).append(len(opened))
+                if tag in SCOPE:
+                    barriers.append(len(opened))
                 opened.append((i, tag))
         close_to(0)
 

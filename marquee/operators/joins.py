@@ -45,38 +45,41 @@ def merge_details(
     return left.join(right, cond, "inner").select(*first, *other, *rest)
 
 
+def hot_parts(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``_hot_key`` and ``_parts``, one part for each ``hot_rows`` of its rows, of the keys in ``counts`` with so many or more.
+
+    With many rows a part has more, so that there are at most ``HOT_KEYS`` hot keys.
+    """
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    least = max(hot_rows, total // HOT_KEYS)
+    return counts.filter(F.col("count") >= least).select(
+        F.col(f"`{key}`").alias("_hot_key"), F.ceil(F.col("count") / least).cast("int").alias("_parts")
+    )
+
+
 def semi_join_spread(
-    df: DataFrame,
-    counts: DataFrame,
-    distinct_keys: DataFrame,
-    key: str,
-    *,
-    hot_rows: int = HOT_ROWS,
-    parts: int | None = None,
+    df: DataFrame, counts: DataFrame, distinct_keys: DataFrame, key: str, *, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``distinct_keys``; NULL matches NULL.
 
     ``counts`` holds ``(key, count)`` of ``df``. Adaptive skew handling does
-    not reach a join with an aggregated side, so rows of a hot key get a part
-    number from the task that reads them, and the one matching key row is
-    repeated for every part. All other rows stay in part 0. There are as many
-    ``parts`` as shuffle partitions by default, so they grow with the job.
+    not reach a join with an aggregated side, so a hot key gets one part for
+    each ``hot_rows`` of its rows. The rows are dealt to the parts by their
+    content, and the one matching key row is repeated for every part: all keys
+    together at most ``rows / hot_rows`` times more than there are keys. All
+    other rows stay in part 0.
     """
     k = f"`{key}`"
-    if parts is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    hot = F.broadcast(
-        counts.filter(F.col("count") >= max(hot_rows, total // HOT_KEYS))
-        .select(F.col(k).alias("_hot_key"), F.lit(True).alias("_hot"))
-    )
+    hot = F.broadcast(hot_parts(counts, key, hot_rows))  # at most HOT_KEYS rows
 
     def flagged(side: DataFrame) -> DataFrame:
         return side.join(hot, side[key].eqNullSafe(hot["_hot_key"]), "left").drop("_hot_key")
 
-    part = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(parts))).otherwise(0)
-    left = flagged(df).withColumn("_part", part).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    # The task counts as well, so that rows of equal content are spread too. Maps cannot be hashed.
+    content = F.xxhash64(*(F.col(f"`{c}`") for c, dtype in df.dtypes if "map<" not in dtype)) + F.spark_partition_id()
+    part = F.when(F.col("_parts") > 1, F.pmod(content, F.col("_parts"))).otherwise(0).cast("int")
+    left = flagged(df).withColumn("_part", part).drop("_parts")
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
     right = flagged(distinct_keys.select(k)).select(
         F.col(k).alias("_key"), F.explode(every).alias("_key_part")
     )
@@ -95,12 +98,14 @@ def restrict_pages(
     """Pages whose URL is a link of the listing, of the same ``src_year`` if both have one. Run it before extraction.
 
     The size of the distinct links is measured first, by a job over the
-    listing. Up to ``max_broadcast`` bytes they are broadcast and no page
+    listing that writes them. Up to ``max_broadcast`` bytes they are broadcast and no page
     moves. Above that pages are shuffled once, with hot URLs spread.
     """
     present = pages.filter(F.col(f"`{url}`").isNotNull())
     year = ["src_year"] if "src_year" in pages.columns and "src_year" in listing.columns else []
-    links = listing.select(*year, F.col(f"`{on}`").alias(url)).filter(F.col(url).isNotNull()).distinct()
+    from marquee.sinks.staging import stage
+
+    links = stage(listing.select(*year, F.col(f"`{on}`").alias(url)).filter(F.col(url).isNotNull()).distinct())
     size = links.agg(F.sum(F.octet_length(F.col(url).cast("string")) + 40)).first()[0] or 0
     same = present[url] == links[url]
     for c in year:
@@ -109,7 +114,7 @@ def restrict_pages(
         return present.join(F.broadcast(links), same, "left_semi")
     link = F.struct(*year, F.col(url)).alias("_link")
     present, links = present.withColumn("_link", link), links.select(link)
-    counts = present.groupBy("_link").count()
+    counts = stage(present.groupBy("_link").count())
     return semi_join_spread(present, counts, links, "_link", hot_rows=hot_rows).drop("_link")
 
 

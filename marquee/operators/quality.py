@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions import malformed_list, out_of_range
+from marquee.functions import malformed_list, out_of_range, text_shape, trim_ws, unread_date
 from marquee.operators.dedup import top_per_group
 
 # Columns of printed lists, and ranges of numbers.
@@ -16,6 +16,22 @@ LIST_COLUMNS = (
 RANGES = {"rating": (1.0, 10.0), "méta_score": (0, 100)}
 
 
+def unread_dates(df: DataFrame, c: str = "release_date") -> DataFrame:
+    """Shapes of the texts in ``c`` that no date format reads: shape, rows, distinct texts, and the smallest text.
+
+    Rows are counted per text first, so a text is tried once per task however
+    often it occurs. What is read is left out of the sums and not by a filter,
+    which Spark would push down, where it evaluates every format's copy of the
+    text anew.
+    """
+    texts = df.groupBy(F.col(f"`{c}`").alias("text")).agg(F.count(F.lit(1)).alias("n"))
+    tried = texts.select("text", "n", text_shape(trim_ws(F.col("text"))).alias("shape"), unread_date(F.col("text")).alias("unread"))
+    return tried.groupBy("shape").agg(
+        F.sum(F.when(F.col("unread"), F.col("n"))).alias("rows"), F.count_if("unread").alias("texts"),
+        F.min(F.when(F.col("unread"), F.col("text"))).alias("sample"),
+    ).filter("texts > 0")
+
+
 def checks(df: DataFrame) -> dict[tuple[str, str], Column]:
     """(check, column) to the condition that marks a bad row."""
     found = {("list_format", c): malformed_list(F.col(c)) for c in LIST_COLUMNS if c in df.columns}

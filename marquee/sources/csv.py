@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import logging
+import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
@@ -22,6 +23,8 @@ log = logging.getLogger(__name__)
 YEAR_PATTERN = "merged_movies_data_*.csv"
 # Header lines read at the same time.
 HEADER_READERS = 16
+# A first line is looked for in so many bytes of a file, and at most so many.
+HEADER_BYTES, MOST_HEADER_BYTES = 1 << 16, 1 << 20
 
 
 def _reader(spark: SparkSession, multi_line: bool):
@@ -49,6 +52,10 @@ def read_csv(
     return df.select(*(null_if_in(F.col(f"`{c}`"), tokens).alias(c) for c in df.columns))
 
 
+class UnreadableHeader(ValueError):
+    """A file whose first line cannot be a header."""
+
+
 class YearFiles(NamedTuple):
     """Files by header, and the files that could not be read with the reason."""
 
@@ -77,9 +84,21 @@ def _plain_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
     file = jvm.org.apache.hadoop.fs.Path(path)
     stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
     try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        head, whole = b"", False
+        for size in (HEADER_BYTES, MOST_HEADER_BYTES - HEADER_BYTES):
+            more = bytes(stream.readNBytes(size))
+            head, whole = head + more, len(more) < size
+            if whole or b"\n" in more or b"\r" in more:
+                break
+        else:
+            raise UnreadableHeader(f"no line break in the first {MOST_HEADER_BYTES} bytes")
     finally:
         stream.close()
+    first = re.split(rb"[\r\n]", head, maxsplit=1)[0]
+    try:
+        line = first.decode()
+    except UnicodeDecodeError:
+        return None
     if not line or line.startswith("\ufeff") or line.count('"') % 2:
         return None
     names = tuple(next(csv.reader([line])))
@@ -91,7 +110,8 @@ def group_by_header(spark: SparkSession, paths: Sequence[str], multi_line: bool
     """Group files by header line. Spark aligns files of one read by position.
 
     Headers are read from the files' first lines, at the same time and without
-    a job each. Spark's reader is asked only where the line alone does not tell
+    a job each; of a file without line breaks no more than a bounded beginning
+    is read. Spark's reader is asked only where the line alone does not tell
     the names.
     """
 
@@ -99,7 +119,7 @@ def group_by_header(spark: SparkSession, paths: Sequence[str], multi_line: bool
         try:
             names = _plain_header(spark, path) or tuple(_reader(spark, multi_line).csv(path).columns)
             return path, names or None, "no header"
-        except (PySparkException, Py4JError) as e:
+        except (PySparkException, Py4JError, UnreadableHeader) as e:
             return path, None, str(getattr(e, "java_exception", e)).splitlines()[0]
 
     groups: dict[tuple[str, ...], list[str]] = {}

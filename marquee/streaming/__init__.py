@@ -1,5 +1,7 @@
 """Incremental refresh with Structured Streaming."""
 
-from marquee.streaming.refresh import compact_store, current_catalogue, refresh_catalogue
+from marquee.streaming.refresh import (
+    current_catalogue, merge_batch, prune_store, read_manifest, refresh_catalogue,
+)
 
-__all__ = ["compact_store", "current_catalogue", "refresh_catalogue"]
+__all__ = ["current_catalogue", "merge_batch", "prune_store", "read_manifest", "refresh_catalogue"]

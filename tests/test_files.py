@@ -17,7 +17,7 @@ from marquee.sources import (
     UnreadableFiles, list_year_files, read_csv, read_csv_files, read_pages, read_years, scan_csv_files,
 )
 from marquee.sources.csv import group_by_header
-from marquee.streaming import compact_store, current_catalogue, refresh_catalogue
+from marquee.streaming import current_catalogue, merge_batch, prune_store, read_manifest, refresh_catalogue
 
 
 def put(root, year, header, *rows, name=None):
@@ -220,9 +220,9 @@ def test_refresh_equals_batch(spark, years, tmp_path):
     store, state = str(tmp_path / "store"), str(tmp_path / "state")
     refresh_catalogue(spark, str(years), store, state, files_per_batch=1).awaitTermination()
     before = sorted(map(repr, current_catalogue(spark, store).collect()))
-    for _ in range(2):
-        compact_store(spark, store)
-        assert len(list((tmp_path / "store").glob("batch=*"))) == 1
+    for deleted in (True, False):
+        assert bool(prune_store(spark, store)) == deleted
+        assert len(list((tmp_path / "store" / "manifests").glob("version=*"))) == 1
         assert sorted(map(repr, current_catalogue(spark, store).collect())) == before
     put(years, 2001, ["Title", "Year", "Movie Link"], ["1. B2", "2001", "https://h/title/tt2/"], ["2. D", "x", ""])
     refresh_catalogue(spark, str(years), store, state).awaitTermination()
@@ -234,6 +234,43 @@ def test_refresh_equals_batch(spark, years, tmp_path):
     assert sorted(map(repr, current.select(*columns).collect())) == sorted(map(repr, expected.collect()))
 
 
+def test_batches_touch_their_own_buckets(spark, tmp_path):
+    store = str(tmp_path / "store")
+    order = "src_year int, _src_file string, _src_pos long"
+
+    def merge(rows, batch, source="s", **more):
+        frame = spark.createDataFrame(rows, f"id string, title string, {order}")
+        return merge_batch(spark, frame.select("*", *(F.lit(v).alias(k) for k, v in more.items())), store, batch, source)
+
+    def titles():
+        return {r["id"]: r["title"] for r in current_catalogue(spark, store).collect()}
+
+    with pytest.raises(ValueError, match="no batch"):
+        current_catalogue(spark, store)
+    want = {f"tt{i}": "a" for i in range(2_000)} | {None: "none"}
+    merge([(i, t, 2000, "f", k) for k, (i, t) in enumerate(want.items())], 0)
+    assert titles() == want and len(read_manifest(spark, store).versions) > 200
+    late = {f"tt{i}": "b" for i in range(5)} | {f"new{i}": "b" for i in range(5)}
+    rows = [(i, t, 2001, "f", k) for k, (i, t) in enumerate(late.items())] + [("tt9", "older", 1999, "f", 1)]
+    touched = merge(rows, 1, extra=3)
+    assert 1 < len(touched) <= 11
+    written = list((tmp_path / "store" / "data" / "version=1").glob("_bucket=*"))
+    assert len(written) == len(touched)
+    assert titles() == want | late
+    assert merge(rows, 1, extra=3) == []  # the same batch once more
+    # A batch that was cut short before its manifest leaves the store as it was, and is merged by the next try.
+    merge([("tt1", "c", 2002, "f", 1)], 2)
+    (tmp_path / "store" / "manifests" / "version=2" / "_SUCCESS").unlink()
+    assert titles() == want | late
+    assert len(merge([("tt1", "c", 2002, "f", 1)], 2)) == 1
+    assert titles() == want | late | {"tt1": "c"}
+    assert merge([], 3) == []
+    assert len(merge([("tt2", "d", 2002, "f", 1)], 1, "other checkpoint")) == 1
+    assert prune_store(spark, store) > 0
+    assert titles() == want | late | {"tt1": "c", "tt2": "d"}
+    assert current_catalogue(spark, store).filter("extra = 3").count() == 10 - 2
+
+
 def test_refresh_stops_at_an_unreadable_file(spark, years, tmp_path):
     """The batch is not committed, so the file is read once it is whole."""
     store, state = str(tmp_path / "store"), str(tmp_path / "state")
@@ -289,3 +326,20 @@ def test_headers_take_no_job_per_file(spark, tmp_path):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert sorted(found.by_header, key=len) == [("b c", "a"), ("a", "b c", 'd"e'), ("a0", "_c1", "a2")]
     assert len(tracker.getJobIdsForGroup("headers")) <= 1
+
+
+def test_first_lines_are_bounded(spark, tmp_path, monkeypatch):
+    from marquee.sources import csv as source
+
+    monkeypatch.setattr(source, "MOST_HEADER_BYTES", 1 << 17)
+    wide = [f"column{i}" for i in range(9_000)]
+    put(tmp_path, 2000, wide, ["1"])
+    put(tmp_path, 2001, ["a", "b"])
+    (tmp_path / "2002").mkdir()
+    (tmp_path / "2002" / "merged_movies_data_2002.csv").write_text("x" * 400_000)
+    (tmp_path / "2003").mkdir()
+    (tmp_path / "2003" / "merged_movies_data_2003.csv").write_bytes(b"a,b\r\n1,2\r\n")
+    found = group_by_header(spark, list_year_files(spark, str(tmp_path)))
+    assert set(found.by_header) == {tuple(wide), ("a", "b")}
+    assert len(found.by_header["a", "b"]) == 2
+    assert ["no line break" in why for why in found.skipped.values()] == [True]

@@ -45,7 +45,7 @@ CASES = {
          "2008-07-18 00:00:00": date(2008, 7, 18), "2008-07-18T01:02:03": date(2008, 7, 18), "July 18 2008": date(2008, 7, 18),
          "Jul. 18, 2008": date(2008, 7, 18), "Sept 5, 2008": date(2008, 9, 5), "Sept. 5, 2008": date(2008, 9, 5),
          "18-Jul-2008": date(2008, 7, 18), "2008-07": date(2008, 7, 1), "20080718": date(2008, 7, 18), "7/18/08": date(2008, 7, 18),
-         "7/18/99": date(1999, 7, 18), "2008.07.18": date(2008, 7, 18), "July 18th, 2008": date(2008, 7, 18),
+         "7/18/99": date(1999, 7, 18), "7/18/68": date(2068, 7, 18), "7/18/69": date(1969, 7, 18), "2008.07.18": date(2008, 7, 18), "July 18th, 2008": date(2008, 7, 18),
          "1st May 2001": date(2001, 5, 1), "August 5, 2008": date(2008, 8, 5), "20081318": None, "2008.13.01": None},
     ),
     "duration_minutes": (

@@ -21,6 +21,55 @@ def detail(spark, html):
     return extract_details(pages(spark, html)).first()
 
 
+def test_scan_against_a_walk():
+    """What an end tag or a new element closes, against a walk through all open elements."""
+    import random
+
+    from marquee.operators.html import ENDS_PARAGRAPH, SCOPE, SIBLINGS, VOID, _Page
+
+    draw = random.Random(1)
+    tags = ["p", "li", "ul", "div", "td", "tr", "th", "table", "b", "i", "br", "option", "dd", "dt", "span"]
+    for _ in range(400):
+        marks = [(draw.random() < 0.4, draw.choice(tags)) for _ in range(draw.randrange(40))]
+        page = _Page("x".join(f"<{'/' * end}{tag}>" for end, tag in marks) + "y")
+        opened, end_of, n = [], [0], 0
+        for ends, tag in marks:
+            steps = [((tag,), ())] if ends and tag not in VOID else []
+            if not ends:
+                steps = [(("p",), SCOPE)] * (tag in ENDS_PARAGRAPH) + [(SIBLINGS.get(tag), SCOPE)] * (tag in SIBLINGS)
+            for wanted, scope in steps:
+                for at in range(len(opened) - 1, -1, -1):
+                    if opened[at][1] in wanted:
+                        for i, _ in opened[at:]:
+                            end_of[i] = n
+                        del opened[at:]
+                        break
+                    if opened[at][1] in scope:
+                        break
+            if not ends:
+                n += 1
+                end_of.append(n)
+                if tag not in VOID:
+                    opened.append((n, tag))
+        for i in [0, *(i for i, _ in opened)]:
+            end_of[i] = n
+        assert page.end == end_of, marks
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    from marquee.operators.html import _Page
+
+    n = 250_000
+    start = time.process_time()
+    page = _Page("<b>" * n + "</i>" * n + "<ul>" * n + "<li>x" * n + "</td>" * n)
+    assert len(page.raw) == 3 * n + 1
+    assert _Page("<a " * n).text(0) == "<a " * n
+    assert len(_Page("</a " * n + "<p>x" + "<!-- " * n).raw) == 1
+    assert time.process_time() - start < 60
+
+
 def test_credits(spark):
     first = f'<li class="ipc-metadata-list__item">{links("D1", "D2")}</li>'
     second = f'<li class="x ipc-metadata-list__item">{links("W &amp; W")}</li>'

@@ -286,3 +286,30 @@ def test_final_summary_of_nothing(spark):
     empty = spark.createDataFrame([], "MPA string, MPA_min_age string, duration int, duration_converted boolean")
     r = op.final_summary(empty).first()
     assert (r["total_rows"], r["converted"], r["success_rate"]) == (0, 0, None)
+
+
+def test_hot_keys_are_repeated_in_proportion(spark):
+    """Many hot keys take no more key rows than their rows allow, and every row is kept."""
+    from marquee.operators.joins import hot_parts, semi_join_spread
+
+    rows = [(k if k < 40 else None, i) for k in range(41) for i in range(1 + 7 * k)] + [(3, 0)] * 50
+    df = spark.createDataFrame(rows, "k int, v int")
+    counts = df.groupBy("k").count()
+    parts = {r["_hot_key"]: r["_parts"] for r in hot_parts(counts, "k", 10).collect()}
+    assert len(parts) > 35 and all(n >= 1 for n in parts.values())
+    assert sum(parts.values()) <= len(rows) / 10 + len(parts)
+    wanted = {3, 20, 39, None}
+    keys = spark.createDataFrame([(k,) for k in wanted], "k int")
+    kept = semi_join_spread(df, counts, keys, "k", hot_rows=10).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted((r for r in rows if r[0] in wanted), key=repr)
+
+
+def test_unread_dates(spark):
+    from marquee.operators import unread_dates
+
+    texts = ["July 4, 2001", "in  July 2001", "in\xa0May 1999", "in May 1999", "Q1 2001", " ", None, "\u0665 x", "1/2/69", "1/2/68"]
+    df = spark.createDataFrame([(t,) for t in texts], "release_date string")
+    got = {r["shape"]: (r["rows"], r["texts"], r["sample"]) for r in unread_dates(df).collect()}
+    assert got == {
+        "aa aaaa 9999": (1, 1, "in  July 2001"), "aa aaa 9999": (2, 2, "in May 1999"), "a9 9999": (1, 1, "Q1 2001"), "9 a": (1, 1, "\u0665 x"),
+    }

@@ -48,6 +48,30 @@ FROM {customer}
 """
 
 
+_MONTHS = "January February March April May June July August September October November December".split()
+_NAME = "CASE month(o_orderdate) " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(_MONTHS, 1)) + " END"
+_Y, _M, _D = (f"CAST({part}(o_orderdate) AS STRING)" for part in ("year", "month", "day"))
+_ABBR = f"substr({_NAME}, 1, 3)"
+
+#: A date of each known shape, and of three others, from 23 on.
+DATE_TEXTS = (
+    f"{_NAME} || ' ' || {_D} || ', ' || {_Y}", f"{_ABBR} || ' ' || {_D} || ', ' || {_Y}", f"{_M} || '/' || {_D} || '/' || {_Y}",
+    f"{_Y} || '-' || {_M} || '-' || {_D}", f"{_D} || '-' || {_M} || '-' || {_Y}", f"{_NAME} || ' ' || {_Y}", f"{_ABBR} || ' ' || {_Y}", _Y,
+    f"{_D} || ' ' || {_NAME} || ' ' || {_Y}", f"{_D} || ' ' || {_ABBR} || ' ' || {_Y}", f"{_D} || '/' || {_M} || '/' || {_Y}",
+    f"{_M} || '-' || {_D} || '-' || {_Y}", f"{_Y} || '/' || {_M} || '/' || {_D}", f"{_Y} || '-' || {_M} || '-' || {_D} || ' 10:20:30'",
+    f"{_Y} || '-' || {_M} || '-' || {_D} || 'T10:20:30'", f"{_NAME} || ' ' || {_D} || ' ' || {_Y}", f"{_ABBR} || ' ' || {_D} || ' ' || {_Y}",
+    f"{_D} || '-' || {_ABBR} || '-' || {_Y}", f"{_D} || '-' || {_NAME} || '-' || {_Y}", f"{_Y} || '-' || {_M}",
+    f"{_Y} || lpad({_M}, 2, '0') || lpad({_D}, 2, '0')", f"{_M} || '/' || {_D} || '/' || substr({_Y}, 3, 2)",
+    f"{_Y} || '.' || {_M} || '.' || {_D}",
+    f"'in ' || {_NAME} || ' ' || {_Y}", f"'Q1  ' || {_Y}", f"{_D} || '.' || {_M} || '.' || {_Y}",
+)
+
+DATES = (
+    f"SELECT o_orderkey AS pos, o_orderdate, CAST(o_orderkey % {len(DATE_TEXTS)} AS INT) AS shape, CASE o_orderkey % {len(DATE_TEXTS)} "
+    + " ".join(f"WHEN {i} THEN {text}" for i, text in enumerate(DATE_TEXTS)) + " END AS text FROM {orders}"
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from workload.frames import DETAILS, MOVIES
+from workload.frames import DATES, DETAILS, MOVIES
 
 _MOVIES = f"movies AS ({MOVIES.format(orders='orders')})"
+_DATES = DATES.format(orders='orders')
 _DETAILS = f"details AS ({DETAILS.format(customer='customer')})"
 
 
@@ -191,6 +192,18 @@ ORACLES: dict[str, str] = {
     "release_date": _movies(f"""
         SELECT pos, strftime({DATE}, '%Y-%m-%d') AS parsed, strftime({FILLED}, '%Y-%m-%d') AS filled,
           strftime({LENIENT}, '%Y-%m-%d') AS lenient FROM movies"""),
+    "date_shapes": f"""
+        WITH t AS ({_DATES}), parts AS (
+            SELECT *, CAST(year(o_orderdate) AS BIGINT) AS y, CAST(month(o_orderdate) AS BIGINT) AS m, CAST(day(o_orderdate) AS BIGINT) AS d FROM t)
+        SELECT pos, strftime(CASE WHEN shape > 22 THEN NULL WHEN shape IN (5, 6, 19) THEN make_date(y, m, 1)
+            WHEN shape = 7 THEN make_date(y, 1, 1) WHEN shape IN (10, 11) AND d <= 12 THEN make_date(y, d, m)
+            ELSE make_date(y, m, d) END, '%Y-%m-%d') AS day
+        FROM parts""",
+    "unread_date_shapes": f"""
+        WITH t AS ({_DATES} WHERE o_orderkey % 26 > 22)
+        SELECT regexp_replace(regexp_replace(regexp_replace(text, '[A-Za-z]', 'a', 'g'), '[0-9]', '9', 'g'), ' +', ' ', 'g') AS shape,
+          count(*) AS rows, count(DISTINCT text) AS texts, min(text) AS sample
+        FROM t GROUP BY 1""",
     "duration_minutes": _movies(f"""
         SELECT pos, {KNOWN} AS known, {_minutes('Duration')} AS minutes, {_minutes('Duration')} <> -1 AS ok FROM movies"""),
     "swap_misplaced_rating": _movies(f"""
@@ -376,6 +389,10 @@ ORACLES: dict[str, str] = {
     "duplicates_file": _rows("SELECT id, count(*) AS count FROM rows WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1"),
     "unexpected_column_counts": _movies("SELECT CAST(count(*) FILTER (pos % 3 > 0) AS BIGINT) AS studio FROM movies"),
     "head_of_result": _movies("SELECT src_year, pos, Title FROM movies ORDER BY src_year, pos LIMIT 5"),
+    "html_unmatched_tags": """
+        SELECT c_custkey AS page_id, c_name AS name, 'one' || c_name || 'two|two|three' AS items,
+          CASE WHEN c_custkey % 200 > 0 THEN 'one' || c_name || 'twothreeend' || repeat('<a ', CAST(c_custkey % 200 * 5 AS BIGINT)) ELSE '' END AS bold
+        FROM customer""",
     "listing_sections": """
         SELECT CAST(floor(o_orderkey / 50) AS BIGINT) AS page_id, o_orderkey || '. A & B' AS title,
           CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 10 || '.5' END AS rating,
@@ -401,5 +418,8 @@ ORACLES: dict[str, str] = {
     "refresh_stream": _with(_MOVIES, _CLEAN) + f"""
         SELECT pos, id, title, rating, strftime(release_date, '%Y-%m-%d') AS release_date
         FROM cleaned QUALIFY row_number() OVER (PARTITION BY id ORDER BY src_year DESC, pos DESC) = 1""",
+    "merged_batches": _with(_MOVIES, _CLEAN) + f"""
+        SELECT pos, id, title, rating, strftime(release_date, '%Y-%m-%d') AS release_date
+        FROM cleaned QUALIFY row_number() OVER (PARTITION BY id ORDER BY src_year DESC, pos DESC) = 1""",
     "staged_rows": _rows("SELECT src_year, count(*) AS n, count(id) AS with_id FROM rows GROUP BY 1"),
 }

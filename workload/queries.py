@@ -13,8 +13,8 @@ from marquee import plans
 from marquee.operators.quality import validate
 from marquee.sinks import shared_folder, stage, write_arrow, write_duplicates, write_outputs, write_yearly
 from marquee.sources import list_year_files, read_csv, read_csv_files, read_pages, scan_csv_files, scan_years
-from marquee.streaming import current_catalogue, refresh_catalogue
-from workload.frames import details, movies, table
+from marquee.streaming import current_catalogue, merge_batch, refresh_catalogue
+from workload.frames import DATES, details, movies, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,6 +135,20 @@ def release_date(spark, sf):
     ).select("pos", _day("parsed"), _day("filled"), _day("lenient"))
 
 
+def _dates(spark, sf):
+    return spark.sql(DATES, orders=table(spark, sf, "orders"))
+
+
+@query
+def date_shapes(spark, sf):
+    return _dates(spark, sf).select("pos", mf.parse_release_date(F.col("text")).alias("day")).select("pos", _day("day"))
+
+
+@query
+def unread_date_shapes(spark, sf):
+    return op.unread_dates(_dates(spark, sf), "text")
+
+
 @query
 def duration_minutes(spark, sf):
     minutes = mf.duration_minutes(F.col("Duration"))
@@ -570,6 +584,19 @@ def _list_pages(spark, sf, rated: bool = False):
     )
 
 
+@query
+def html_unmatched_tags(spark, sf):
+    """Pages of hundreds of tags that are never closed and of end tags that were never opened."""
+    n = F.col("c_custkey") % 200 * 5
+    html = F.concat(
+        F.repeat(F.lit("<b><div>"), n), F.lit('<ul><li>one<p class="x">'), F.col("c_name"), F.repeat(F.lit("</i>"), n),
+        F.lit("<table><li>two</table><li>three</ul></b>end"), F.repeat(F.lit("<a "), n),
+    )
+    pages = table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    fields = [op.Field("name", "p.x"), op.Field("items", "li", many=True), op.Field("bold", "b", limit=1, many=True)]
+    return op.extract_record(pages, fields).select("page_id", "name", F.array_join("items", "|").alias("items"), F.array_join("bold", "|").alias("bold"))
+
+
 @query
 def listing_sections(spark, sf):
     rows = plans.extract_listing(_list_pages(spark, sf, rated=True), "https://ex.example", on_error="keep")
@@ -772,6 +799,18 @@ def refresh_stream(spark, sf):
     return rows.select(F.col("pos").cast("bigint").alias("pos"), "id", "title", "rating", _day("release_date"))
 
 
+@query
+def merged_batches(spark, sf):
+    """Three batches, each rewriting the buckets that it touches; the second one is merged twice."""
+    cleaned = plans.clean_catalogue(movies(spark, sf)).withColumn("_src_file", F.lit("")).withColumn("_src_pos", F.col("pos"))
+    store = f"{_folder(cleaned, 'merged')}/store"
+    for batch, year in enumerate(("src_year > 1996", "src_year % 2 = 0 AND src_year <= 1996", "src_year % 2 = 1 AND src_year <= 1996")):
+        for _ in range(1 + batch % 2):
+            merge_batch(spark, cleaned.filter(year), store, batch, "query", buckets=16)
+    rows = current_catalogue(spark, store)
+    return rows.select(F.col("pos").cast("bigint").alias("pos"), "id", "title", "rating", _day("release_date"))
+
+
 @query
 def staged_rows(spark, sf):
     return stage(_identified(spark, sf)).groupBy("src_year").agg(
