@@ -9,7 +9,7 @@ from marquee.operators.columns import (
     union_relaxed,
 )
 from marquee.operators.dedup import (
-    all_duplicates, duplicate_report, duplicate_titles, keep_last, top_per_group,
+    all_duplicates, duplicate_pieces, duplicate_report, duplicate_titles, keep_last, top_per_group,
 )
 from marquee.operators.html import Field, extract_items, extract_record
 from marquee.operators.joins import lookup, merge_details, restrict_pages

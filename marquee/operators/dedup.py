@@ -70,6 +70,54 @@ def duplicate_report(df: DataFrame, key: str = "id", show: str = "title") -> Dat
     )
 
 
+#: Bytes of titles in one piece of the report.
+PIECE_BYTES = 1 << 20
+
+
+def duplicate_pieces(
+    df: DataFrame, key: str = "id", show: str = "title", piece_bytes: int = PIECE_BYTES, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The duplicate report with an id's titles in pieces of bounded size: key, ``piece`` from 0, ``count``, ``titles``.
+
+    Rows are ``duplicate_report``'s but for ids with more than ``piece_bytes``
+    of titles: theirs are cut where the running size of the sorted titles, with
+    their separators, passes a multiple of it. Titles are sorted in ranges of
+    key and title, so an id with very many is spread over ranges. Sizes are
+    added up within a range, and ranges of an id by their totals.
+    """
+    from marquee.sinks.staging import stage
+
+    k = f"`{key}`"
+    pairs = stage(
+        df.filter(F.col(k).isNotNull()).groupBy(F.col(k).alias("_of"), F.col(f"`{show}`").alias("_title"))
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+    keys = stage(pairs.groupBy("_of").agg(F.sum("count").alias("count"), F.count("_title").alias("_titles")).filter("count > 1"))
+    own = pairs.filter(F.col("_title").isNotNull()).select("_of", "_title")
+    sizes = keys.select("_of", F.col("_titles").alias("count"))
+    ranges = (
+        semi_join_spread(own, sizes, keys, "_of", hot_rows=hot_rows)
+        .repartitionByRange("_of", "_title")
+        .withColumn("_range", F.spark_partition_id())
+        .withColumn("_size", F.octet_length("_title").cast("long") + 2)
+    )
+    ranges = stage(ranges)  # a row keeps the range that it was sorted into
+    upto = Window.partitionBy("_of").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranges.groupBy("_of", "_range").agg(F.sum("_size").alias("_total")).select(
+        "_of", "_range", F.coalesce(F.sum("_total").over(upto), F.lit(0)).alias("_before")
+    )
+    running = Window.partitionBy("_of", "_range").orderBy("_title").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = (
+        ranges.withColumn("_upto", F.sum("_size").over(running) - F.col("_size"))
+        .join(stage(before), ["_of", "_range"])
+        .withColumn("piece", F.expr(f"(_before + _upto) div {piece_bytes}"))
+        .groupBy("_of", "piece").agg(F.array_join(F.sort_array(F.collect_list("_title")), ", ").alias("titles"))
+    )
+    return keys.join(pieces, "_of", "left").select(
+        F.col("_of").alias(key), F.coalesce("piece", F.lit(0)).alias("piece"), "count", F.coalesce("titles", F.lit("")).alias("titles")
+    )
+
+
 def all_duplicates(df: DataFrame, c: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row whose value in ``c`` occurs more than once; NULL is a value.
 

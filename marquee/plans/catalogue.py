@@ -19,7 +19,7 @@ from marquee.operators.aggregate import missing_stats, observe_rows
 from marquee.operators.columns import (
     absent_columns, lead_columns, rename_columns, unexpected_columns,
 )
-from marquee.operators.dedup import duplicate_report, keep_last, top_per_group
+from marquee.operators.dedup import duplicate_pieces, duplicate_report, keep_last, top_per_group
 from marquee.operators.quality import LIST_COLUMNS, validate
 from marquee.plans.schemas import BOOKKEEPING, CATALOGUE, RENAMES
 from marquee.sinks import stage, write_duplicates, write_outputs
@@ -148,12 +148,14 @@ def run_catalogue(
     """Yearly files below ``root`` to the catalogue files below ``out``.
 
     Files are parsed and cleaned once, into a stored table that feeds the
-    reports and the catalogue. Files without quoted line breaks are split over
+    reports and the catalogue. An id with very many titles takes several rows
+    of the duplicate report (see ``duplicate_pieces``). Files without quoted line breaks are split over
     tasks if ``multi_line`` is off.
     """
     found_files = scan_years(spark, root, multi_line=multi_line)
     raw, read = observe_rows(clean_catalogue(found_files.rows), "read")
-    result = curate(stage(raw))
+    cleaned = stage(raw)
+    result = curate(cleaned)._replace(duplicates=duplicate_pieces(cleaned).drop("piece"))
     found = write_duplicates(result.duplicates, f"{out.rstrip('/')}/duplicates.csv")
     kept, count = observe_rows(result.catalogue, "kept")
     written = write_outputs(kept, out, formats)

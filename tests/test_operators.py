@@ -313,3 +313,17 @@ def test_unread_dates(spark):
     assert got == {
         "aa aaaa 9999": (1, 1, "in  July 2001"), "aa aaa 9999": (2, 2, "in May 1999"), "a9 9999": (1, 1, "Q1 2001"), "9 a": (1, 1, "\u0665 x"),
     }
+
+
+def test_an_id_with_very_many_titles(spark):
+    """Its titles are spread over tasks and pieces, in order, and none is lost."""
+    from marquee.operators import duplicate_pieces, duplicate_report
+
+    many = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', concat('tt', id div 2)) as id", "concat('title ', id % 20000) as title")
+    rows = duplicate_pieces(many, piece_bytes=1_000, hot_rows=1_000).collect()
+    titles = {}
+    for r in sorted(rows, key=lambda r: (r["id"], r["piece"])):
+        titles.setdefault(r["id"], []).append(r["titles"])
+    want = {r["id"]: r["titles"] for r in duplicate_report(many).collect()}
+    assert {i: ", ".join(t) for i, t in titles.items()} == want
+    assert len(titles["hot"]) > 50 and max(len(r["titles"]) for r in rows) < 1_100

@@ -260,6 +260,14 @@ ORACLES: dict[str, str] = {
     "duplicate_report": _rows("""
         SELECT id, count(*) AS count, COALESCE(string_agg(DISTINCT title, ', ' ORDER BY title), '') AS titles
         FROM rows WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1"""),
+    "duplicate_pieces": _rows("""
+        , keys AS (SELECT id, count(*) AS count FROM rows WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1),
+        sized AS (
+            SELECT id, title, sum(strlen(title) + 2) OVER (PARTITION BY id ORDER BY title) - strlen(title) - 2 AS before
+            FROM (SELECT DISTINCT id, title FROM rows WHERE title IS NOT NULL)),
+        pieces AS (
+            SELECT id, CAST(before // 60 AS BIGINT) AS piece, string_agg(title, ', ' ORDER BY title) AS titles FROM sized GROUP BY 1, 2)
+        SELECT id, COALESCE(piece, 0) AS piece, count, COALESCE(titles, '') AS titles FROM keys LEFT JOIN pieces USING (id)"""),
     "duplicate_titles": _rows("""
         SELECT DISTINCT id, title FROM rows WHERE title IS NOT NULL
         AND id IN (SELECT id FROM rows WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"""),

@@ -328,6 +328,12 @@ def duplicate_titles(spark, sf):
     return op.duplicate_titles(_identified(spark, sf))
 
 
+@query
+def duplicate_pieces(spark, sf):
+    """Titles of the duplicate ids in pieces of some 60 bytes."""
+    return op.duplicate_pieces(_identified(spark, sf), piece_bytes=60, hot_rows=5)
+
+
 @query
 def duplicate_rows(spark, sf):
     return op.all_duplicates(_identified(spark, sf), "title", hot_rows=3)
