@@ -16,6 +16,11 @@ All counts are grouped aggregations over all rows. Counts per host, domain and
 suffix are joined back by broadcast if their counted size fits, else by a
 shuffle in which Spark can split a hot host.
 
+Every labelled language is told apart, however many there are and however rare
+they are: a language's model is smoothed towards that of all texts, and texts
+are scored by ``Settings.group`` languages at a time, so a task holds no more
+models than that. The driver holds the names of the languages and one group.
+
 Defined cases: missing evidence (no text, no declaration, no host) leaves the
 rest to decide; with none at all the overall prior does. Declared languages
 that no document is labelled with count as one, "other". Ties go to the
@@ -27,6 +32,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Sequence
 from dataclasses import dataclass
 from html import unescape
 
@@ -37,29 +43,63 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import sized, slices, stage
+from marquee.llm.common import ROW, numbered, sized, slices, stage
 from marquee.llm.trigrams import CODES, codes_of, symbol_table, trigram_counts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: What is no text in a page: comments, scripts, styles, tags.
-NO_TEXT = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+#: Elements whose content is no text, and the end of each.
+HIDDEN = re.compile(r"<(script|style)\b", re.I | re.A)
+HIDDEN_END = {name: re.compile(rf"</{name}\s*>", re.I | re.A) for name in ("script", "style")}
+#: Languages whose counts come to the driver together.
+COLLECTED = 8
 
 
 @dataclass(frozen=True)
 class Settings:
-    """languages: most languages told apart, by number of labelled documents; least: documents that one needs."""
+    """smooth: added to each count of all texts; shared: trigrams that the model of all texts weighs in a language's;
+    group: languages that are scored in one reading of the texts."""
 
-    languages: int = 64
-    least: int = 5
     smooth: float = 0.5
+    shared: float = 2000.0
+    group: int = 64
     effective: float = 200.0
     prior: float = 10.0
     sure: float = 0.5
 
 
+def page_text(html: str) -> str:
+    """What comments, scripts, styles and tags leave of a page, in time that grows with its length.
+
+    What is not closed ends at its first ``>``; without one it is text.
+    """
+    parts, at, unclosed = [], 0, set()
+    while (tag := html.find("<", at)) >= 0:
+        parts.append(html[at:tag])
+        hidden, end = HIDDEN.match(html, tag), -1
+        # An end that is missing once is missing for all that follows.
+        if hidden and (name := hidden[1].lower()) not in unclosed:
+            close = HIDDEN_END[name].search(html, hidden.end())
+            end = close.end() if close else -1
+            if not close:
+                unclosed.add(name)
+        elif "--" not in unclosed and html.startswith("<!--", tag):
+            end = html.find("-->", tag + 4) + 3
+            if end < 3:
+                end = -1
+                unclosed.add("--")
+        if end < 0:
+            end = html.find(">", tag) + 1
+        if not end:
+            parts.pop()
+            break
+        at = end
+    parts.append(html[at:])
+    return unescape(" ".join(parts))
+
+
 def declared_language(html: Column) -> Column:
-    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)
+    tag = F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)
     return F.lower(F.when(tag != "", tag))
 
 
@@ -84,36 +124,46 @@ def records(documents: DataFrame | None, pages: DataFrame | None) -> DataFrame:
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return whole.withColumn("suffix", F.when(F.col("suffix") != "", F.col("suffix"))).withColumn(
-        "domain", F.coalesce(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.lit(""))
+        "domain", F.when(F.contains("host", F.lit(".")), F.substring_index("host", ".", -2)).otherwise("")
     )
 
 
-def train(documents: DataFrame, settings: Settings = Settings()) -> tuple[list[str], np.ndarray]:
-    """Languages, and the log probability of every trigram in each: 64 arrays of 262,144 numbers at most."""
-    known = documents.where("lang is not null and lang <> ''").groupBy("lang").count().where(F.col("count") >= settings.least)
-    langs = sorted(r["lang"] for r in known.orderBy(F.desc("count"), "lang").limit(settings.languages).collect())
-    if not langs:
-        return [], np.zeros((0, CODES), np.float32)
-    counts = trigram_counts(documents.where(F.col("lang").isin(langs))).toArrow()
-    table = np.full((len(langs), CODES), settings.smooth)
-    lang = np.array([langs.index(x) for x in counts.column("lang").to_pylist()], np.int64)
-    table[lang, counts.column("code").to_numpy()] += counts.column("n").to_numpy()
-    return langs, np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
+def train(documents: DataFrame) -> tuple[list[str], DataFrame]:
+    """All labelled languages, and how often each trigram occurs in each, by its place among them. Written as a table."""
+    known = documents.where("lang is not null and lang <> ''")
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    numbers = sized(stage(documents.sparkSession.createDataFrame(list(enumerate(langs)), "number int, lang string")), 100)
+    return langs, stage(trigram_counts(known).join(numbers, "lang").select("number", "code", "n"))
+
+
+def models(counts: DataFrame, first: int, size: int, settings: Settings) -> np.ndarray:
+    """Log probability of every trigram in ``size`` languages from ``first`` on: 262,144 numbers for each."""
+    every = counts.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    whole = np.full(CODES, settings.smooth)
+    whole[every.column("code").to_numpy()] += every.column("n").to_numpy()
+    whole *= settings.shared / whole.sum()
+    table = np.tile(whole.astype(np.float32), (size, 1))
+    for at in range(0, size, COLLECTED):
+        part = counts.where(F.col("number").between(first + at, first + min(at + COLLECTED, size) - 1)).toArrow()
+        table[part.column("number").to_numpy() - first, part.column("code").to_numpy()] += part.column("n").to_numpy()
+    for row in table:
+        row[:] = np.log(row / row.sum(dtype=np.float64))
+    return table
 
 
 KEYS = ("kind", "doc_id", "page_id", "host", "domain", "suffix", "declared")
 
 
-def text_evidence(rows: DataFrame, langs: list[str], table: np.ndarray, settings: Settings) -> DataFrame:
-    """Keys of each row with ``text_log``, the weighed log likelihood of its text in each language. Written as a table."""
+def _text_logs(rows: DataFrame, keys: Sequence[str], table: np.ndarray, settings: Settings) -> DataFrame:
+    """``keys`` of each row with ``text_log``, the weighed log likelihood of its text in each language of ``table``."""
     shared = rows.sparkSession.sparkContext.broadcast(table)
-    schema = T.StructType([*(rows.schema[k] for k in KEYS), T.StructField("text_log", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*(rows.schema[k] for k in keys), T.StructField("text_log", T.ArrayType(T.DoubleType()))])
 
     def task(batches):
         symbols, table = symbol_table(), shared.value
         for batch in slices(batches, 4 << 20, 1024):
             texts = [
-                t if t is not None else unescape(NO_TEXT.sub(" ", h or ""))
+                t if t is not None else page_text(h or "")
                 for t, h in zip(batch.column("text").to_pylist(), batch.column("html").to_pylist(), strict=True)
             ]
             texts = [t if t.strip() else "" for t in texts]  # blanks are no evidence
@@ -128,69 +178,88 @@ def text_evidence(rows: DataFrame, langs: list[str], table: np.ndarray, settings
             flat = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(texts) + 1) * len(table), pa.int32()), pa.array(logs.ravel())
             )
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEYS), flat], schema.names)
-
-    return stage(rows.select(*KEYS, "text", "html").mapInArrow(task, schema))
-
-
-def _counts(langs: list[str]) -> list[Column]:
-    return [F.count_if(F.col("by_text") == i).alias(f"c{i}") for i in range(len(langs))]
-
-
-def _joined(rows: DataFrame, counts: DataFrame, key: str, name: str, langs: list[str]) -> DataFrame:
-    """``rows`` with the counts of its key as an array; zeros where there are none."""
-    packed = counts.select(key, F.array(*(f"c{i}" for i in range(len(langs)))).alias(name))
-    packed = sized(stage(packed.where(F.col(key).isNotNull())), 100 + 8 * len(langs))
-    return rows.join(packed, key, "left")
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), flat], schema.names)
+
+    return rows.select(*keys, "text", "html").mapInArrow(task, schema)
+
+
+def text_evidence(rows: DataFrame, langs: list[str], counts: DataFrame, settings: Settings) -> DataFrame:
+    """Keys of each row with ``text_log`` for all languages. Written as a table.
+
+    With more languages than one group, the rows are numbered and written, read
+    once for each group, and the groups' numbers are put together by row.
+    """
+    groups = [(at, min(settings.group, len(langs) - at)) for at in range(0, len(langs), settings.group)]
+    if len(groups) == 1:
+        return stage(_text_logs(rows, KEYS, models(counts, *groups[0], settings), settings))
+    rows = stage(numbered(rows, *KEYS, "text", "html"))
+    logs = None
+    for first, size in groups:
+        found = stage(_text_logs(rows, [ROW], models(counts, first, size, settings), settings)).withColumn("first", F.lit(first))
+        logs = found if logs is None else logs.unionByName(found)
+    # One piece per group and row.
+    pieces = F.array_sort(F.collect_list(F.struct("first", "text_log")))
+    whole = logs.groupBy(ROW).agg(F.flatten(F.transform(pieces, lambda x: x["text_log"])).alias("text_log"))
+    return stage(rows.select(*KEYS, ROW).join(whole, ROW).drop(ROW))
+
+
+def _joined(rows: DataFrame, key: str, name: str, size: int) -> DataFrame:
+    """``rows`` with how many of its key's rows have which language by their text, and with the sum of these."""
+    found = rows.where(F.col(key).isNotNull()).groupBy(key, "by_text").agg(F.count(F.lit(1)).alias("n"))
+    # At most a pair for each language.
+    pairs = F.map_from_entries(F.collect_list(F.when(F.col("by_text").isNotNull(), F.struct("by_text", "n"))))
+    zero = F.lit(0).cast("long")
+    packed = found.groupBy(key).agg(pairs.alias("pairs")).select(
+        key, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("pairs", i), zero)).alias(name),
+        F.aggregate(F.map_values("pairs"), zero, lambda a, x: a + x).alias(f"{name}_n"),
+    )
+    return sized(stage(packed), 100 + 8 * size)
 
 
-def identify(rows: DataFrame, langs: list[str], table: np.ndarray, settings: Settings = Settings()) -> DataFrame:
-    """Posterior language of each row of ``records``."""
+def identify(rows: DataFrame, langs: list[str], counts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Posterior language of each row of ``records``; ``langs`` and ``counts`` as ``train`` gives them."""
     size = len(langs)
     if not size:
         return rows.select(
             *KEYS, F.lit(None).cast("string").alias("text_lang"), F.lit(None).cast("string").alias("language"),
             F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"),
         )
-    read = text_evidence(rows, langs, table, settings)
+    read = text_evidence(rows, langs, counts, settings)
     best = F.array_position("text_log", F.array_max("text_log")).cast("int") - 1
     # Rows without text have no language of their own and count nowhere.
     read = read.withColumn("by_text", F.when(F.exists("text_log", lambda x: x != 0), best))
     declared = F.when(F.col("declared").isin(langs), F.col("declared")).when(F.col("declared").isNotNull(), "other")
     read = read.withColumn("declared_as", declared)
 
-    total = read.agg(*_counts(langs)).first()
-    overall = [(total[f"c{i}"] + 1) / (sum(total) + size) for i in range(size)]
+    by_text = dict(read.where("by_text is not null").groupBy("by_text").count().collect())
+    total = [by_text.get(i, 0) for i in range(size)]
+    all_rows, overall = F.lit([float(n) for n in total]), F.lit([(n + 1) / (sum(total) + size) for n in total])
     out = read
     for key, name in (("host", "of_host"), ("domain", "of_domain"), ("suffix", "of_suffix"), ("declared_as", "of_declared")):
-        out = _joined(out, read.groupBy(key).agg(*_counts(langs)), key, name, langs)
+        out = out.join(_joined(read, key, name, size), key, "left")
+
+    none, weight = F.lit(0.0), settings.prior
 
-    own = lambda i: (F.col("by_text") == i).cast("double")
-    none = F.lit(0.0)
-    weight = settings.prior
+    def others(name: str, i: Column) -> Column:
+        """A group's other rows of language i; null without a group."""
+        return F.get(name, i) - F.when(F.col("by_text") == i, 1.0).otherwise(none)
 
-    def level(name: str, i: int, above: Column) -> Column:
+    def level(name: str, i: Column, above: Column) -> Column:
         """Share of language i among a group's other rows, smoothed towards the level above."""
-        others = F.coalesce(F.col(name)[i] - F.coalesce(own(i), none), none)
-        n = F.coalesce(
-            F.aggregate(name, F.lit(0).cast("long"), lambda a, x: a + x) - F.col("by_text").isNotNull().cast("int"), none
-        )
-        return (others + weight * above) / (n + weight)
+        n = F.coalesce(F.col(f"{name}_n") - F.col("by_text").isNotNull().cast("int"), none)
+        return (F.coalesce(others(name, i), none) + weight * above) / (n + weight)
 
-    def likelihood(name: str, i: int) -> Column:
+    def likelihood(name: str, i: Column) -> Column:
         """Log probability that a row of language i has this declaration or suffix; 0 if it has none."""
-        seen = F.col(name)[i] - F.coalesce(own(i), none)
-        return F.coalesce(F.log((seen + 0.5) / (total[f"c{i}"] + 1.0)), none)
+        return F.coalesce(F.log((others(name, i) + 0.5) / (F.get(all_rows, i) + 1.0)), none)
 
-    scores = [
-        F.coalesce(F.col("text_log")[i], none)
-        + F.log(level("of_host", i, level("of_domain", i, F.lit(overall[i]))))
+    scores = F.transform("text_log", lambda text, i: (
+        text + F.log(level("of_host", i, level("of_domain", i, F.get(overall, i))))
         + likelihood("of_suffix", i) + likelihood("of_declared", i)
-        for i in range(size)
-    ]
-    out = out.withColumn("scores", F.array(*scores)).withColumn("top", F.array_max("scores"))
+    ))
+    out = out.withColumn("scores", scores).withColumn("top", F.array_max("scores"))
     sums = F.aggregate("scores", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
-    names = F.array(*map(F.lit, langs))
+    names = F.lit(langs)
     return out.select(
         *KEYS, F.get(names, F.col("by_text")).alias("text_lang"),
         F.get(names, F.array_position("scores", F.col("top")).cast("int") - 1).alias("language"), (1 / sums).alias("confidence"),

@@ -1,18 +1,24 @@
 """Toxicity, quality rules, language and url filters."""
 
+import html
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import __spark_entry__ as entry
 from cases import ROWS, write
 from marquee.llm.common import table
-from marquee.llm.language import identify, records
+from marquee.llm.language import Settings as LanguageSettings
+from marquee.llm.language import identify, page_text, records
 from marquee.llm.language import train as train_language
 from marquee.llm.perplexity import KneserNey, Settings as Bands, discounts, judge_quality, signs
 from marquee.llm.queries import URL_RULES
@@ -208,6 +214,120 @@ def test_language_cases(spark, tmp_path):
     assert len(none) == len(ROWS) and {r["language"] for r in none} == {None}
 
 
+def plain_languages(labelled, rows, settings=LanguageSettings()):
+    """Text language, language and confidence of (text, host, domain, suffix, declared), by plain loops."""
+    symbols = symbol_table()
+
+    def trigrams(text):
+        at = [0, 0, *(int(symbols[ord(c)]) for c in text.lower())]
+        return [at[i] << 12 | at[i + 1] << 6 | at[i + 2] for i in range(len(at) - 2)]
+
+    counts = defaultdict(Counter)
+    for text, lang in labelled:
+        if lang:
+            counts[lang].update(trigrams(text or ""))
+    langs, every = sorted(counts), sum(counts.values(), Counter())
+    whole = sum(every.values()) + settings.smooth * CODES
+
+    def log_likelihood(text):
+        codes = trigrams(text) if (text or "").strip() else []
+        k = settings.effective / (len(codes) + settings.effective)
+        sums = {lang: sum(counts[lang].values()) + settings.shared for lang in langs}
+        return [
+            k * sum(math.log((counts[lang][c] + settings.shared * (every[c] + settings.smooth) / whole) / sums[lang]) for c in codes)
+            for lang in langs
+        ]
+
+    logs = [log_likelihood(row[0]) for row in rows]
+    by = [max(range(len(langs)), key=x.__getitem__) if any(x) else None for x in logs]
+    groups = [defaultdict(Counter) for _ in range(4)]
+    keys = [(h, d, s, None if x is None else x if x in langs else "other") for _, h, d, s, x in rows]
+    for row, own in zip(keys, by, strict=True):
+        for group, key in zip(groups, row, strict=True):
+            if key is not None:
+                group[key][own] += own is not None
+    total, found = Counter(x for x in by if x is not None), []
+    for row, own, text in zip(keys, by, logs, strict=True):
+        scores = []
+        for i in range(len(langs)):
+            share = (total[i] + 1) / (sum(total.values()) + len(langs))
+            for group, key in ((groups[1], row[1]), (groups[0], row[0])):
+                n = sum(group[key].values()) - (own is not None) if key is not None else 0
+                mine = group[key][i] - (own == i) if key is not None else 0
+                share = (mine + settings.prior * share) / (n + settings.prior)
+            score = text[i] + math.log(share)
+            for group, key in ((groups[2], row[2]), (groups[3], row[3])):
+                if key is not None:
+                    score += math.log((group[key][i] - (own == i) + 0.5) / (total[i] + 1))
+            scores.append(score)
+        top = max(scores)
+        found.append((None if own is None else langs[own], langs[scores.index(top)], 1 / sum(math.exp(x - top) for x in scores)))
+    return found
+
+
+def many_languages(n, documents):
+    """Documents of ``n`` invented languages, each of its own syllables."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(n):
+        parts = ["".join(rng.choices("bcdfghklmnprstvz", k=2)) + rng.choice("aeiouyäöü") for _ in range(12)]
+        for _ in range(documents):
+            text = " ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(60))
+            rows.append((len(rows), text, f"l{k:02d}", f"s{k % 9}"))
+    return rows
+
+
+@pytest.mark.parametrize("group", [64, 16])
+def test_language_like_plain_loops(spark, tmp_path, group):
+    made = many_languages(20, 3)
+    docs = write(spark, made, tmp_path / "docs")
+    pages = [(i, f"http://h{i % 4}.a{i % 3}.c{i % 2}/", f'<html lang="l{i % 25:02d}"><p>{made[7 * i % 60][1]}</p>') for i in range(40)]
+    pages += [(90, None, None), (91, "http://h1.a1.c1/", "<p> </p>"), (92, "no url", '<html lang="de">')]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = identify(records(docs, frame), *train_language(docs), LanguageSettings(group=group)).collect()
+    text_of = {("document", i): t for i, t, _, _ in made} | {("page", i): page_text(h or "") for i, _, h in pages}
+    plain = plain_languages(
+        [(t, lang) for _, t, lang, _ in made],
+        [(text_of[r["kind"], r["doc_id"] if r["page_id"] is None else r["page_id"]], r["host"], r["domain"], r["suffix"], r["declared"])
+         for r in rows],
+    )
+    assert len(rows) == len(made) + len(pages)
+    for r, (own, best, confidence) in zip(rows, plain, strict=True):
+        assert (r["text_lang"], r["language"]) == (own, best) and r["confidence"] == pytest.approx(confidence, abs=1e-4)
+
+
+def test_seventy_rare_languages(spark, tmp_path):
+    made = many_languages(70, 4)
+    train = [r for r in made if r[0] % 4]
+    rest = [r for r in made if r[0] % 4 == 0]
+    langs, counts = train_language(write(spark, train, tmp_path / "train"))
+    assert len(langs) == 70
+    rows = identify(records(write(spark, rest, tmp_path / "rest"), None), langs, counts).collect()
+    lang = {r[0]: r[2] for r in rest}
+    assert sum(r["language"] == lang[r["doc_id"]] for r in rows) >= 0.95 * len(rest)
+
+
+NO_TEXT = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["<", ">", "<!--", "-->", "<script", "<SCRIPT>", "</script>", "</script  >", "<style ", "</style", "a", " ", "<p>", "-", "&amp;"]
+), max_size=20).map("".join))
+def test_page_text_like_the_expression(page):
+    assert page_text(page) == html.unescape(NO_TEXT.sub(" ", page))
+
+
+@pytest.mark.parametrize("piece", ["<script ", "<script>", "<!--", "<style", "</script", "<html ", "<", "<a"])
+def test_page_text_in_linear_time(spark, piece):
+    page = piece * (2_000_000 // len(piece))
+    began = time.monotonic()
+    page_text(page)
+    frame = spark.createDataFrame([(1, "http://a.b/", page)], "page_id long, url string, html string")
+    assert records(None, frame).select("declared").first()[0] is None
+    assert time.monotonic() - began < 20
+
+
 # --- urls -------------------------------------------------------------------
 
 def plain_url(url):
