@@ -14,7 +14,7 @@ from marquee.operators.dedup import (
 from marquee.operators.html import Field, extract_items, extract_record
 from marquee.operators.joins import lookup, merge_details, restrict_pages
 from marquee.operators.profile import (
-    analyze_column, describe_all, describe_numeric, profile, unique_values,
+    analyze_column, describe_all, describe_numeric, describe_states, merge_states, profile, profile_states, unique_values,
 )
 from marquee.operators.quality import unread_dates, validate
 

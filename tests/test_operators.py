@@ -1,14 +1,17 @@
 """Operators against hand-made rows and brute force."""
 
+import bisect
 import math
 import random
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee import operators as op
-from marquee.operators.profile import describe_all, numeric_stats
+from marquee.operators.profile import describe_all, describe_states, merge_states, numeric_stats, profile_states
 from marquee.operators.quality import validate
 
 
@@ -248,6 +251,62 @@ def test_describe_all_types(spark):
     assert profile == {"n": 1, "t": 0, "f": 1, "e": 3}
 
 
+def plain_stats(values):
+    """Count, mean, deviation, extremes and quartiles by pandas."""
+    d = pd.Series([v for v in values if v is not None and v == v], dtype="float64").describe()
+    return [float(d[k]) for k in ("count", "mean", "std", "min", "25%", "50%", "75%", "max")]
+
+
+SHAPES = {
+    "spread": lambda r, i: r.gauss(1e9, 1.0),
+    "few": lambda r, i: float(r.choice([1, 1, 1, 2, 5])),
+    "holes": lambda r, i: None if i % 3 else float("nan") if i % 7 == 0 else r.random(),
+    "long tail": lambda r, i: r.random() ** -3,
+    "none": lambda r, i: None,
+    "one": lambda r, i: 4.0 if i == 5 else None,
+    "signed": lambda r, i: -0.0 if i % 2 else float(i - 9_000),
+}
+
+
+@pytest.mark.parametrize("n", [7, 3_000, 20_000])
+def test_states_merge_to_exact_profiles(spark, n):
+    r = random.Random(n)
+    rows = [(i % 5, *(make(r, i) for make in SHAPES.values())) for i in range(n)]
+    frame = spark.createDataFrame(rows, T.StructType([
+        T.StructField("part", T.IntegerType()), *(T.StructField(c, T.DoubleType()) for c in SHAPES),
+    ])).repartition(3)
+    names = frame.columns[1:]
+    states = profile_states(frame, names, by=["part"])
+    assert states.count() == len(names) * min(n, 5)
+    found = {x["column"]: x for x in describe_states(merge_states(states), frame).collect()}
+    rough = {x["column"]: x for x in describe_states(merge_states(states)).collect()}
+    assert set(found) == set(names)
+    for k, c in enumerate(names, 1):
+        values = [row[k] for row in rows]
+        got = [found[c][x] for x in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")]
+        got = [math.nan if x is None else x for x in got]
+        assert got == pytest.approx(plain_stats(values), rel=1e-6, nan_ok=True), c
+        real = sorted(v for v in values if v is not None and v == v)
+        assert found[c]["nulls"] == n - len(real)
+        assert found[c]["distinct"] == pytest.approx(len(set(real)), rel=0.1, abs=1)
+        for p in (25, 50, 75) if len(real) > 100 else ():
+            at = rough[c][f"p{p}"]
+            assert bisect.bisect_left(real, at) - 0.01 * n <= p / 100 * len(real) <= bisect.bisect_right(real, at) + 0.01 * n
+
+
+def test_states_of_nothing(spark):
+    none = spark.createDataFrame([], "part int, v double")
+    assert describe_states(merge_states(profile_states(none, ["v"], by=["part"])), none).collect() == []
+    row = describe_states(profile_states(none, ["v"]), none).first()
+    assert row["count"] == 0 and row["mean"] is None and row["p50"] is None
+
+
+def test_states_of_missing_groups(spark):
+    frame = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 5.0)], "part int, v double")
+    merged = merge_states(profile_states(frame, ["v"], by=["part"]), ["part"])
+    assert {(x["part"], x["count"], x["mean"], x["m2"]) for x in merged.collect()} == {(None, 2, 2.0, 2.0), (1, 1, 5.0, 0.0)}
+
+
 def test_approximate_describe(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
     r = describe_all(df, exact=False).first()

@@ -321,6 +321,16 @@ ORACLES: dict[str, str] = {
     "profile_numeric": " UNION ALL ".join(
         _describe(c, c, "lineitem") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_partkey")
     ),
+    "profile_merged": " UNION ALL ".join(
+        f"SELECT *, (SELECT count(*) - count({c}) FROM lineitem) AS nulls FROM ({_describe(c, c, 'lineitem')})"
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_partkey")
+    ),
+    "profile_per_year": " UNION ALL ".join(
+        f"""SELECT CAST(year(l_shipdate) AS INT) AS year, '{c}' AS "column", count({c}) AS "count", count(*) - count({c}) AS nulls,
+          round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max
+        FROM lineitem GROUP BY 1"""
+        for c in ("l_quantity", "l_extendedprice")
+    ),
     "profile_text": _movies(" UNION ALL ".join(
         _text_profile(c, "movies") for c in ("Title", "Duration", "MPA", "Votes")
     )),

@@ -435,6 +435,26 @@ def profile_numeric(spark, sf):
     return _rounded(op.describe_all(lines)).drop("unique", "top", "freq", "dtype")
 
 
+@query
+def profile_merged(spark, sf):
+    """States kept per year of shipping, merged over all years, refined on the rows."""
+    lines = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    states = stage(op.profile_states(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"], by=["year"]))
+    return _rounded(op.describe_states(op.merge_states(states), lines)).drop("distinct")
+
+
+@query
+def profile_per_year(spark, sf):
+    """The states of each year and line status, merged to years: moments and extremes without a second reading."""
+    lines = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    states = stage(op.profile_states(lines, ["l_quantity", "l_extendedprice"], by=["year", "l_linestatus"]))
+    merged = op.merge_states(states, ["year"])
+    return merged.select(
+        "year", "column", "count", "nulls", F.round("mean", 4).alias("mean"),
+        F.round(F.sqrt(F.col("m2") / (F.col("count") - 1)), 4).alias("std"), "min", "max",
+    )
+
+
 @query
 def profile_text(spark, sf):
     df = movies(spark, sf).select("Title", "Duration", "MPA", "Votes")
