@@ -1,22 +1,26 @@
 """Quality rules: counts of bad signs, and bands of character n-gram perplexity.
 
-A modified Kneser-Ney model of character trigrams is made for each language
-from counts that Spark takes over all documents. A model is three sorted arrays
-of 64-bit n-gram hashes, with probabilities and back-off weights beside them;
-it has 262,144 trigrams at most, as texts are read in 64 symbols, so models
-are small enough to broadcast whatever the corpus. Documents are scored by the
-model of their language. The accepted band of log perplexity is set per
-language from its quartiles over all documents that pass the counted rules:
-``Settings.width`` interquartile ranges beyond them, so a document is rejected
-for being unlike its language in either direction (gibberish above, repetition
-below).
-
-Languages beyond the ``Settings.models`` most frequent, or with fewer than
-``Settings.least`` documents, and a missing language share one model and band.
+One modified Kneser-Ney model of character five-grams is counted by Spark over
+all documents (``grams``). Its table grows with the corpus and is not
+broadcast: rows are dealt to blocks of consecutive rows of a file, each block's
+distinct n-grams are joined with the model, and what a block needs comes back
+to it as one sorted array, in which its documents look their n-grams up. Five
+characters tell the language, so one model serves all, and quotations too.
+
+There are two measures, log perplexity per character and per word: text of odd
+pieces is unlike others by character, and words with signs stuck to them only
+by word. Their bands are set for each language and size class (power of two of
+characters, as short texts scatter more): ``Settings.width`` interquartile
+ranges beyond the quartiles of all documents that pass the counted rules. A
+document beyond a band in either direction is rejected.
+Quartiles of few documents are drawn towards those of their language, and
+those of a rare language towards those of all documents, by
+``Settings.prior`` documents. Any number of languages has bands.
 
 Defined cases: a null or empty text has no words, so the base rules reject it,
-and its perplexity is null. An empty table gives no rows. Equal rows are
-judged alike. A band that cannot be set (no document passed) accepts all.
+and its perplexities are null. A missing language counts as a language. An empty
+table gives no rows. Equal rows are judged alike. A band that cannot be set (no
+document passed) accepts all.
 """
 
 from __future__ import annotations
@@ -32,124 +36,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import slices, stage
-from marquee.llm.trigrams import CODES, SYMBOLS, codes_of, symbol_table, trigram_counts
+from marquee.llm.common import ROW, placed, sized, slices, stage
+from marquee.llm.grams import block_grams, grams_of, probabilities, symbol_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Name of the model that rare and missing languages share; no language has it.
-SHARED = ""
-#: Characters that are scored together by one model.
-WINDOW = 128
 SIGNS = b"#*$%&|<>"
+#: Each measure, and the prefix of the names of its limits.
+MEASURES = {"log_perplexity": "", "word_log_perplexity": "word_"}
 
 
 @dataclass(frozen=True)
 class Settings:
-    """width: interquartile ranges that the band goes beyond the quartiles; models: most languages with their own;
-    others: the most frequent languages, which any document may also quote."""
+    """width: interquartile ranges that the band goes beyond the quartiles; prior: documents that a wider group's
+    quartiles count as; block_bits: rows of a block, as a power of two."""
 
-    width: float = 3.5
-    others: int = 8
-    models: int = 63
-    least: int = 20
+    width: float = 3.0
+    prior: int = 40
+    block_bits: int = 13
     least_words: int = 50
     most_repeated: int = 50
 
 
-def hashes(order: int, codes: np.ndarray) -> np.ndarray:
-    """64-bit hashes of n-grams (splitmix of order and code)."""
-    with np.errstate(over="ignore"):
-        x = (codes.astype(np.uint64) | np.uint64(order << 32)) + np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-        return x ^ x >> np.uint64(31)
-
-
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """What Chen and Goodman take off counts of 0, 1, 2 and 3 or more.
-
-    Where a count of counts is missing, as in small corpora, a half is taken.
-    """
-    n = [int((counts == i).sum()) for i in range(1, 5)]
-    if not all(n):
-        return np.array([0.0, 0.5, 0.5, 0.5])
-    y = n[0] / (n[0] + 2 * n[1])
-    return np.array([0.0, *(min(max((i + 1) - (i + 2) * y * n[i + 1] / n[i], 0.0), i + 1.0) for i in range(3))])
-
-
-class KneserNey:
-    """Interpolated modified Kneser-Ney probabilities of trigrams, in sorted hash arrays."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        """``codes``: distinct trigrams; ``counts``: how often each occurs."""
-        # Lower orders count in how many contexts an n-gram occurs.
-        bigrams, contexts = np.unique(codes & 0xFFF, return_counts=True)
-        unigrams, wider = np.unique(bigrams & 0x3F, return_counts=True)
-        p1, _ = self._level(unigrams, wider, np.full(len(unigrams), 1 / SYMBOLS))
-        self.unseen = float(self._back(wider, np.zeros(len(unigrams), np.int64))[0]) / SYMBOLS if len(unigrams) else 1 / SYMBOLS
-        low = np.full(SYMBOLS, self.unseen)
-        low[unigrams] = p1
-        p2, back2 = self._level(bigrams, contexts, low[bigrams & 0x3F])
-        mid = low[np.arange(SYMBOLS * SYMBOLS) & 0x3F] * back2[np.arange(SYMBOLS * SYMBOLS) >> 6]
-        mid[bigrams] = p2
-        p3, back3 = self._level(codes, counts, mid[codes & 0xFFF])
-        self.low = low
-        # An array per order: hash, probability; and for contexts: hash, back-off weight.
-        self.tri, self.bi = self._sorted(3, codes, p3), self._sorted(2, bigrams, p2)
-        self.back3 = self._sorted(12, seen := np.unique(codes >> 6), back3[seen])
-        self.back2 = self._sorted(11, seen := np.unique(bigrams >> 6), back2[seen])
-
-    @classmethod
-    def of(cls, arrays: dict) -> KneserNey:
-        """The model that has these arrays (``vars`` of one that was made elsewhere)."""
-        model = cls.__new__(cls)
-        vars(model).update(arrays)
-        return model
-
-    @staticmethod
-    def _back(counts: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Back-off weight by context; 1 where a context is unknown."""
-        size = int(context.max()) + 1 if len(context) else 1
-        taken = np.bincount(context, discounts(counts)[np.minimum(counts, 3)], size)
-        total = np.bincount(context, counts, size)
-        return np.where(total > 0, taken / np.maximum(total, 1), 1.0)
-
-    def _level(self, grams: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of each n-gram, and back-off weight of each possible context."""
-        context = grams >> 6
-        back = np.ones(SYMBOLS * SYMBOLS)
-        found = self._back(counts, context)
-        back[:len(found)] = found
-        total = np.bincount(context, counts, SYMBOLS * SYMBOLS)
-        own = (counts - discounts(counts)[np.minimum(counts, 3)]) / total[context]
-        return own + back[context] * lower, back
-
-    @staticmethod
-    def _sorted(order: int, codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = hashes(order, codes)
-        at = np.argsort(keys)
-        return keys[at], values[at].astype(np.float32)
-
-    @staticmethod
-    def _find(array: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each key is in the array, and its value."""
-        if not len(array[0]):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
-        at = np.minimum(np.searchsorted(array[0], keys), len(array[0]) - 1)
-        return array[0][at] == keys, array[1][at]
-
-    def log_prob(self, codes: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each trigram's last symbol after its first two."""
-        has3, p3 = self._find(self.tri, hashes(3, codes))
-        has2, p2 = self._find(self.bi, hashes(2, codes & 0xFFF))
-        ctx3, b3 = self._find(self.back3, hashes(12, codes >> 6))
-        ctx2, b2 = self._find(self.back2, hashes(11, (codes & 0xFFF) >> 6))
-        p = np.where(has2, p2, np.where(ctx2, b2, 1.0) * self.low[codes & 0x3F])
-        p = np.where(has3, p3, np.where(ctx3, b3, 1.0) * p)
-        return np.log(p)
-
-
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a window of three words that occurs twice or more."""
     n = len(words)
@@ -180,104 +88,109 @@ def signs(text: bytes) -> tuple[int, int, int, int, int]:
     )
 
 
-def windows_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where windows of ``WINDOW`` characters begin, none across texts, and the text of each."""
-    lengths = np.diff(starts)
-    each = -(-lengths // WINDOW)
-    of_text = np.repeat(np.arange(len(each)), each)
-    within = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-    return starts[of_text] + within * WINDOW, of_text
-
-
 SCORED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("model", T.StringType()),
     *(T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
-    T.StructField("log_perplexity", T.DoubleType()),
+    T.StructField("size", T.IntegerType()), *(T.StructField(n, T.DoubleType()) for n in MEASURES),
 ])
 
 
-def model_names(docs: DataFrame, settings: Settings) -> list[str]:
-    """Languages that get a model of their own: the most frequent ones, as many as are allowed."""
-    found = docs.where("lang is not null and lang <> ''").groupBy("lang").count().where(F.col("count") >= settings.least)
-    return [r["lang"] for r in found.orderBy(F.desc("count"), "lang").limit(settings.models).collect()]
+def losses(texts: list[str], codes: np.ndarray, logs: np.ndarray, table: np.ndarray) -> list[float | None]:
+    """Negative log probability of each text, from sorted n-grams and their values; null for an empty one."""
+    out: list[float | None] = []
+    for grams in grams_of(texts, table):
+        if not len(grams):
+            out.append(None)
+            continue
+        own, n = np.unique(grams, return_counts=True)
+        at = np.searchsorted(codes, own)
+        if len(codes) <= at[-1] or (codes[at] != own).any():
+            raise ValueError("an n-gram of a document is not in the model of its block")
+        out.append(float(-(logs[at] @ n)))
+    return out
+
 
+def scored(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """Signs and perplexities of each row (``docs``: block, doc_id, lang, text; ``model``: block, code, log_p)."""
 
-def with_model(docs: DataFrame, names: list[str]) -> DataFrame:
-    own = F.when(F.col("lang").isin(names), F.col("lang")) if names else F.lit(None).cast("string")
-    return docs.select("doc_id", "text", F.coalesce(own, F.lit(SHARED)).alias("lang"))
+    def task(batches):
+        table, now, parts, known = symbol_table(), None, [], None
+        for batch in slices(batches, 8 << 20, 1024):
+            key = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy()
+            edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                run = batch.slice(a, b - a)
+                if key[a] >> 1 != now:
+                    now, parts, known = key[a] >> 1, [], None
+                if not key[a] & 1:
+                    parts.append((run.column(2).to_numpy(), run.column(3).to_numpy()))
+                    continue
+                if known is None:
+                    known = tuple(map(np.concatenate, zip(*parts, strict=True))) if parts else (np.zeros(0, np.int64), np.zeros(0))
+                    parts = []
+                raw = [x or b"" for x in run.column(6).cast(pa.binary()).to_pylist()]
+                texts = [x.decode("utf-8", "replace") for x in raw]
+                counts = list(zip(*map(signs, raw), strict=True))
+                loss = losses(texts, *known, table)
+                yield pa.RecordBatch.from_arrays([
+                    run.column(4), run.column(5), *(pa.array(c, pa.int64()) for c in counts),
+                    pa.array([len(t).bit_length() for t in texts], pa.int32()),
+                    pa.array([x if x is None else x / len(t) for x, t in zip(loss, texts, strict=True)], pa.float64()),
+                    pa.array([x / n if n and x is not None else None for x, n in zip(loss, counts[0], strict=True)], pa.float64()),
+                ], SCORED.names)
+
+    nothing = {"doc_id": "long", "lang": "string", "text": "string"}
+    first = model.select("block", F.lit(0).alias("kind"), "code", "log_p", *(F.lit(None).cast(t).alias(n) for n, t in nothing.items()))
+    then = docs.select(
+        "block", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("code"), F.lit(None).cast("float").alias("log_p"), *nothing
+    )
+    return first.union(then).repartition("block").sortWithinPartitions("block", "kind", "code").mapInArrow(task, SCORED)
 
 
-def train(docs: DataFrame) -> dict[str, KneserNey]:
-    """A model for each value of ``lang``, and the shared one; at most 64 times 262,144 counts come to the driver."""
-    counts = trigram_counts(docs).toArrow().to_pandas().sort_values("code")
-    models = {lang: KneserNey(part["code"].to_numpy(), part["n"].to_numpy()) for lang, part in counts.groupby("lang")}
-    whole = counts.groupby("code")["n"].sum()
-    return models | {SHARED: KneserNey(whole.index.to_numpy(), whole.to_numpy())}
+def bands(judged: DataFrame, settings: Settings) -> DataFrame:
+    """``model``, ``size`` and the limits of both measures, from all documents that passed the base rules."""
+    good = judged.where("not base_failed")
 
+    def quartiles(mark):
+        return [
+            F.percentile_approx(m, q, 10_000).alias(f"{mark}_{name}_{m}")
+            for m in MEASURES for q, name in ((0.25, "q1"), (0.75, "q3"))
+        ]
 
-def scored(docs: DataFrame, models: dict[str, KneserNey], others: list[str]) -> DataFrame:
-    """Signs and mean negative log probability of each row.
+    own = good.groupBy("model", "size").agg(F.count("*").alias("n"), *quartiles("own"))
+    by_lang = good.groupBy("model").agg(F.count("*").alias("n_lang"), *quartiles("lang"))
+    rows = own.join(by_lang, "model").join(F.broadcast(good.agg(*quartiles("all"))))  # one row
+    prior = F.lit(settings.prior)
 
-    Each window is scored by the best of the models of the row's ``lang``,
-    of all languages, and of ``others``, so quotations in another language
-    do not count as noise.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast({lang: vars(m) for lang, m in models.items()})
+    def drawn(name):
+        lang = (F.col("n_lang") * F.col(f"lang_{name}") + prior * F.col(f"all_{name}")) / (F.col("n_lang") + prior)
+        return (F.col("n") * F.col(f"own_{name}") + prior * lang) / (F.col("n") + prior)
 
-    def task(batches):
-        table, memo = symbol_table(), {}
-
-        def logs(name, model, codes):
-            known = memo.setdefault(name, np.full(CODES, np.nan))
-            found = known[codes]
-            if (new := np.isnan(found)).any():
-                fresh = np.unique(codes[new])
-                known[fresh] = model.log_prob(fresh)
-                found = known[codes]
-            return found
-
-        own = {lang: KneserNey.of(arrays) for lang, arrays in shared.value.items()}
-        for batch in slices(batches, 4 << 20, 1024):
-            langs = batch.column(2).to_pylist()
-            raw = [x or b"" for x in batch.column(1).cast(pa.binary()).to_pylist()]
-            loss: list[float | None] = [None] * len(raw)
-            for lang in set(langs):
-                model, at = own.get(lang), [i for i, x in enumerate(langs) if x == lang and raw[i]]
-                if model is None or not at:
-                    continue
-                codes, starts = codes_of([raw[i].decode("utf-8", "replace") for i in at], table)
-                windows, of_text = windows_of(starts)
-                best = None
-                for name in dict.fromkeys([lang, SHARED, *others]):
-                    sums = np.add.reduceat(logs(name, own[name], codes), windows)
-                    best = sums if best is None else np.maximum(best, sums)
-                total = np.bincount(of_text, best, len(at))
-                for i, s, n in zip(at, total.tolist(), np.diff(starts).tolist(), strict=True):
-                    loss[i] = -s / n
-            counts = list(zip(*map(signs, raw), strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(2), *(pa.array(c, pa.int64()) for c in counts), pa.array(loss, pa.float64()),
-            ], SCORED.names)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").mapInArrow(task, SCORED)
+    limits = []
+    for m, prefix in MEASURES.items():
+        low, high = drawn(f"q1_{m}"), drawn(f"q3_{m}")
+        reach = settings.width * (high - low)
+        limits += [(low - reach).alias(f"{prefix}lower"), (high + reach).alias(f"{prefix}upper")]
+    return rows.select("model", "size", *limits)
 
 
-def bands(judged: DataFrame, settings: Settings) -> DataFrame:
-    """``model``, ``lower`` and ``upper`` log perplexity, from all documents that passed the base rules."""
-    quartile = lambda q: F.percentile_approx("log_perplexity", q, 10_000)
-    found = judged.where("not base_failed").groupBy("model").agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
-    reach = settings.width * (F.col("q3") - F.col("q1"))
-    return found.select("model", (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper"))
+def perplexities(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Signs, size class and perplexities of each row, by a model of all rows."""
+    rows = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), "text"))
+    rows = rows.withColumn("block", F.shiftright(ROW, settings.block_bits))
+    counted = stage(block_grams(rows))
+    model = stage(probabilities(counted))
+    return scored(rows, counted.select("block", "code").join(model, "code"))
 
 
 def judge_quality(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per row of ``docs``: counts, base_failed, log perplexity, the band it is held to, kept."""
-    names = model_names(docs, settings)
-    rows = with_model(docs, names)
-    judged = stage(scored(rows, train(rows), names[: settings.others])).withColumn(
+    """One row per row of ``docs``: counts, base_failed, both perplexities, the bands they are held to, kept."""
+    judged = stage(perplexities(docs, settings)).withColumn(
         "base_failed",
         (F.col("n_words") < settings.least_words) | (100 * F.col("n_repeat_words") > settings.most_repeated * F.col("n_words")),
     )
-    limits = F.broadcast(stage(bands(judged, settings)))  # a row per model
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")), F.lit(True))
-    return judged.join(limits, "model", "left").withColumn("kept", ~F.col("base_failed") & inside)
+    limits = sized(stage(bands(judged, settings)), 96)
+    inside = F.lit(True)
+    for m, prefix in MEASURES.items():
+        inside &= F.coalesce(F.col(m).between(F.col(f"{prefix}lower"), F.col(f"{prefix}upper")), F.lit(True))
+    return judged.join(limits, ["model", "size"], "left").withColumn("kept", ~F.col("base_failed") & inside)

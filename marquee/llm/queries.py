@@ -74,6 +74,7 @@ def op4_quality_rules(spark, sf):
     return judge_quality(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "log_perplexity", F.col("lower").alias("lower_band"), F.col("upper").alias("upper_band"),
+        "word_log_perplexity", F.col("word_lower").alias("word_lower_band"), F.col("word_upper").alias("word_upper_band"),
     )
 
 

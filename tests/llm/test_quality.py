@@ -7,7 +7,6 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
-from itertools import product
 
 import numpy as np
 import pytest
@@ -17,13 +16,15 @@ from hypothesis import strategies as st
 import __spark_entry__ as entry
 from cases import ROWS, write
 from marquee.llm.common import table
+from marquee.llm.grams import symbol_table as gram_symbols
 from marquee.llm.language import Settings as LanguageSettings
 from marquee.llm.language import identify, page_text, records
 from marquee.llm.language import train as train_language
-from marquee.llm.perplexity import KneserNey, Settings as Bands, discounts, judge_quality, signs
+from marquee.llm.perplexity import Settings as Bands
+from marquee.llm.perplexity import judge_quality, perplexities, signs
 from marquee.llm.queries import URL_RULES
 from marquee.llm.toxicity import Settings, drop_toxic, sentences, toxicity
-from marquee.llm.trigrams import CODES, SYMBOLS, codes_of, symbol_table, trigram_counts
+from marquee.llm.trigrams import CODES, symbol_table, trigram_counts
 from marquee.llm.urls import judge_urls
 
 SF, MORE = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
@@ -108,7 +109,7 @@ def test_signs(text):
 
 def test_quality_cases(spark, tmp_path):
     docs = write(spark, ROWS, tmp_path / "docs")
-    rows = judge_quality(docs, Bands(least=1)).collect()
+    rows = judge_quality(docs).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     assert sorted((r["doc_id"] or 0, *(r[n] for n in names)) for r in rows) == sorted((i or 0, *plain_signs(t)) for i, t, *_ in ROWS)
     for r in rows:
@@ -127,33 +128,111 @@ def test_trigram_counts(spark, tmp_path):
     assert {(r["lang"], r["code"]): r["n"] for r in trigram_counts(docs).collect()} == dict(want)
 
 
-def test_kneser_ney_by_definition():
-    draw = np.random.default_rng(5)
-    text = "".join(draw.choice(list("abc d"), 800, p=[0.4, 0.2, 0.2, 0.15, 0.05]))
-    codes, counts = np.unique(codes_of([text], symbol_table())[0], return_counts=True)
-    model = KneserNey(codes, counts)
-    tri = dict(zip(codes.tolist(), counts.tolist(), strict=True))
-    bi, uni = Counter(c & 0xFFF for c in tri), Counter()
-    uni.update(b & 0x3F for b in bi)
-
-    def level(grams, code, bits, lower):
-        own = {g: n for g, n in grams.items() if g >> 6 == code >> 6}
-        take = discounts(np.array(list(grams.values())))
-        if not own:
-            return lower
-        total = sum(own.values())
-        back = sum(take[min(n, 3)] for n in own.values()) / total
-        n = own.get(code, 0)
-        return max(n - take[min(n, 3)], 0) / total + back * lower
-
-    every = np.array([a << 12 | b << 6 | c for a, b, c in product((0, 2, 3, 4, 5, 9), repeat=3)])
-    want = [
-        level(tri, c, 18, level(bi, c & 0xFFF, 12, level(uni, c & 0x3F, 6, 1 / SYMBOLS))) for c in every.tolist()
-    ]
-    assert np.allclose(model.log_prob(every), np.log(want), atol=1e-4)
-    context = int(every[20]) >> 6
-    assert math.isclose(np.exp(model.log_prob(np.arange(SYMBOLS) | context << 6)).sum(), 1, abs_tol=1e-4)
-    assert model.log_prob(np.arange(CODES)).max() <= 0
+def plain_perplexities(texts):
+    """Log probability of each text by the definition, over tuples of symbols in dictionaries."""
+    table, size = gram_symbols(), 4096
+
+    def grams(text):
+        run = [0] * 4 + [int(table[ord(c)]) for c in text]
+        return [tuple(run[i:i + 5]) for i in range(len(text))]
+
+    levels = {5: Counter(g for t in texts for g in set(grams(t)))}
+    for k in (4, 3, 2, 1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    off, total, rest = {}, Counter(), Counter()
+    for k, level in levels.items():
+        n = [sum(c == i for c in level.values()) for i in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1]) if all(n) else None
+        off[k] = [1.0] + [0.5 if y is None else min(max(i - (i + 1) * y * n[i] / n[i - 1], 0), i) for i in (2, 3)]
+        for g, c in level.items():
+            total[g[:-1]] += c
+            rest[g[:-1]] += off[k][min(c, 3) - 1]
+
+    def p(g):
+        if not g:
+            return 1 / size
+        c, context = levels[len(g)][g], g[:-1]
+        return (c - off[len(g)][min(c, 3) - 1] + rest[context] * p(g[1:])) / total[context]
+
+    return [-sum(math.log(p(g)) for g in grams(t)) if t else None for t in texts]
+
+
+@pytest.mark.parametrize("bits", [0, 1, 13])
+def test_perplexity_like_the_definition(spark, tmp_path, bits):
+    """Also where each block has one row or two."""
+    draw = random.Random(5)
+    extra = ["".join(draw.choices("abc dÄж日", [5, 3, 2, 3, 1, 1, 1, 1], k=draw.randint(1, 120))) for _ in range(60)]
+    rows = ROWS + [(100 + i, t, draw.choice(["en", "de", None]), "s") for i, t in enumerate(extra)]
+    got = perplexities(write(spark, rows, tmp_path / "docs"), Bands(block_bits=bits)).collect()
+    want = plain_perplexities([t or "" for _, t, *_ in rows])
+    by = defaultdict(list)
+    for (i, t, *_), loss in zip(rows, want, strict=True):
+        by[i].append((loss / len(t) if t else -1, loss / len(w) if (w := re.findall(r"[^\x20\x09-\x0D]+", t or "")) else -1))
+    found = defaultdict(list)
+    for r in got:
+        found[r["doc_id"]].append(tuple(-1 if r[m] is None else r[m] for m in ("log_perplexity", "word_log_perplexity")))
+    assert by.keys() == found.keys()
+    for i in by:
+        assert np.allclose(sorted(by[i]), sorted(found[i]), rtol=1e-5)
+
+
+def test_kept_like_plain_bands(spark):
+    """On a fixture with more documents than a sketch of quartiles would round."""
+    rows = [r.asDict() for r in judge_quality(table(spark, SF, "documents")).collect()]
+    good = [r for r in rows if not r["base_failed"]]
+
+    def quartiles(part, m):
+        values = sorted(r[m] for r in part)
+        return [values[max(math.ceil(q * len(values)) - 1, 0)] for q in (0.25, 0.75)]
+
+    groups, langs = defaultdict(list), defaultdict(list)
+    for r in good:
+        groups[r["model"], r["size"]].append(r)
+        langs[r["model"]].append(r)
+    limits = {}
+    for (lang, size), part in groups.items():
+        for m in ("log_perplexity", "word_log_perplexity"):
+            n, n_lang = len(part), len(langs[lang])
+            low, high = (
+                (n * own + 40 * (n_lang * of + 40 * every) / (n_lang + 40)) / (n + 40)
+                for own, of, every in zip(quartiles(part, m), quartiles(langs[lang], m), quartiles(good, m), strict=True)
+            )
+            limits[lang, size, m] = low - 3 * (high - low), high + 3 * (high - low)
+    for r in rows:
+        inside = all(
+            r[m] is None or (r["model"], r["size"], m) not in limits or a <= r[m] <= b
+            for m in ("log_perplexity", "word_log_perplexity") for a, b in [limits.get((r["model"], r["size"], m), (0, 0))]
+        )
+        assert r["kept"] == (not r["base_failed"] and inside)
+
+
+def test_labelled_junk(spark):
+    """Most labelled junk goes, and good documents stay."""
+    quality = {r["doc_id"]: r["quality"] for r in table(spark, SF, "labels").collect()}
+    rows = [r for r in judge_quality(table(spark, SF, "documents")).collect() if not r["base_failed"] and r["doc_id"] in quality]
+    junk, good = ([r["kept"] for r in rows if quality[r["doc_id"]] == q] for q in (0, 1))
+    assert sum(junk) < 0.5 * len(junk)
+    assert sum(good) >= 0.99 * len(good)
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрст", "的一是不了人我在有他这为之大来以个中上们"])
+def test_noise_in_other_scripts(spark, tmp_path, letters):
+    draw = random.Random(8)
+    words = ["".join(draw.choices(letters, k=5)) for _ in range(150)]
+    rows = [(i, " ".join(draw.choices(words, k=90)), "xx", "s") for i in range(120)]
+    rows += [(900 + i, " ".join("".join(draw.choices(letters, k=5)) for _ in range(90)), "xx", "s") for i in range(4)]
+    kept = {r["doc_id"]: r["kept"] for r in judge_quality(write(spark, rows, tmp_path / "docs")).collect()}
+    assert not any(kept[900 + i] for i in range(4))
+    assert sum(kept[i] for i in range(120)) >= 118
+
+
+def test_bands_of_many_languages(spark, tmp_path):
+    """A rare language has a band too, drawn towards the others'."""
+    draw = random.Random(9)
+    rows = [(i, " ".join(f"w{draw.randint(0, 40)}" for _ in range(70)), f"l{i % 80}", "s") for i in range(240)]
+    found = judge_quality(write(spark, rows, tmp_path / "docs")).collect()
+    assert len({r["model"] for r in found}) == 80
+    assert all(r["lower"] is not None and r["word_upper"] is not None for r in found if not r["base_failed"])
 
 
 def test_bands_reject_the_unlike(spark, tmp_path):
