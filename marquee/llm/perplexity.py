@@ -110,12 +110,34 @@ def losses(texts: list[str], codes: np.ndarray, logs: np.ndarray, table: np.ndar
     return out
 
 
+PACKED = T.StructType([T.StructField("block", T.LongType()), T.StructField("packed", T.BinaryType())])
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` (block, doc_id, lang, text) as compressed Arrow streams of 4 MB of rows, or one long text, of one block each."""
+
+    def task(batches):
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+        for batch in slices(batches, 4 << 20, 4096):
+            blocks = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
+                    stream.write_batch(batch.slice(a, b - a))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(blocks[a:a + 1]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], PACKED.names
+                )
+
+    return docs.select("block", "doc_id", "lang", "text").mapInArrow(task, PACKED)
+
+
 def scored(docs: DataFrame, model: DataFrame) -> DataFrame:
     """Signs and perplexities of each row (``docs``: block, doc_id, lang, text; ``model``: block, code, log_p)."""
 
     def task(batches):
         table, now, parts, known = symbol_table(), None, [], None
-        for batch in slices(batches, 8 << 20, 1024):
+        for batch in slices(batches, 8 << 20, 1 << 16):
             key = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy()
             edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
             for a, b in zip(edges, edges[1:], strict=False):
@@ -128,21 +150,25 @@ def scored(docs: DataFrame, model: DataFrame) -> DataFrame:
                 if known is None:
                     known = tuple(map(np.concatenate, zip(*parts, strict=True))) if parts else (np.zeros(0, np.int64), np.zeros(0))
                     parts = []
-                raw = [x or b"" for x in run.column(6).cast(pa.binary()).to_pylist()]
-                texts = [x.decode("utf-8", "replace") for x in raw]
-                counts = list(zip(*map(signs, raw), strict=True))
-                loss = losses(texts, *known, table)
-                yield pa.RecordBatch.from_arrays([
-                    run.column(4), run.column(5), *(pa.array(c, pa.int64()) for c in counts),
-                    pa.array([len(t).bit_length() for t in texts], pa.int32()),
-                    pa.array([x if x is None else x / len(t) for x, t in zip(loss, texts, strict=True)], pa.float64()),
-                    pa.array([x / n if n and x is not None else None for x, n in zip(loss, counts[0], strict=True)], pa.float64()),
-                ], SCORED.names)
-
-    nothing = {"doc_id": "long", "lang": "string", "text": "string"}
-    first = model.select("block", F.lit(0).alias("kind"), "code", "log_p", *(F.lit(None).cast(t).alias(n) for n, t in nothing.items()))
-    then = docs.select(
-        "block", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("code"), F.lit(None).cast("float").alias("log_p"), *nothing
+                for stream in run.column(4):
+                    for rows in pa.ipc.open_stream(stream.as_buffer()):
+                        yield judged_rows(rows, known, table)
+
+    def judged_rows(rows, known, table):
+        raw = [x or b"" for x in rows.column(3).cast(pa.binary()).to_pylist()]
+        texts = [x.decode("utf-8", "replace") for x in raw]
+        counts = list(zip(*map(signs, raw), strict=True))
+        loss = losses(texts, *known, table)
+        return pa.RecordBatch.from_arrays([
+            rows.column(1), rows.column(2), *(pa.array(c, pa.int64()) for c in counts),
+            pa.array([len(t).bit_length() for t in texts], pa.int32()),
+            pa.array([x if x is None else x / len(t) for x, t in zip(loss, texts, strict=True)], pa.float64()),
+            pa.array([x / n if n and x is not None else None for x, n in zip(loss, counts[0], strict=True)], pa.float64()),
+        ], SCORED.names)
+
+    first = model.select("block", F.lit(0).alias("kind"), "code", "log_p", F.lit(None).cast("binary").alias("packed"))
+    then = packed(docs).select(
+        "block", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("code"), F.lit(None).cast("float").alias("log_p"), "packed"
     )
     return first.union(then).repartition("block").sortWithinPartitions("block", "kind", "code").mapInArrow(task, SCORED)
 
