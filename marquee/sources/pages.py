@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt evenly, or by columns, to enough tasks for the whole cluster.
+
+    One file of few row groups is read by few tasks, and everything up to the
+    next shuffle runs in them. Deal the rows out while they are narrow, before
+    pages are put together or parsed.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *by)
+
+
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Pages as ``page_id``, ``url``, ``html``.
 

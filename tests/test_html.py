@@ -229,3 +229,52 @@ def test_left_out_films_and_pages_are_told(spark):
     assert sorted(r["page_id"] for r in built.failed_films.collect()) == [0, 1]
     assert built.failed_pages.count() == 0
     assert "_failed" not in built.merged.columns
+
+
+def test_equal_tags_are_read_once_per_task(monkeypatch):
+    from marquee.operators import html
+
+    read = []
+    plain = html._plain_tag
+    monkeypatch.setattr(html, "_plain_tag", lambda source: read.append(source) or plain(source))
+    reader = html._Reader([Field("p", "p.x", many=True)])
+    for _ in range(3):
+        values, errors, failed = reader.row(reader.page('<p class="x">a</p>' * 1000), 0)
+        assert (values, errors, failed) == ([["a"] * 1000], [], False)
+    assert read == ['p class="x"', "/p"]
+
+
+def test_what_a_task_remembers_is_bounded():
+    from marquee.operators import html
+
+    reader = html._Reader([Field("a", "a[id=x]", attr="href"), Field("b", "b.x")])
+    for k in range(3):
+        many = "".join(f'<a id=x href="{k}-{n}"><b class="{n}">' for n in range(5000))
+        assert reader.row(reader.page(f"<b class='x {'y' * 5000}'>{many}"), 0)[0] == [f"{k}-0", ""]
+    kept = (reader._tags, reader._known, *(rule[-1] for rule in reader._rules.values()))
+    assert all(len(m) <= html.REMEMBERED and max(map(len, m), default=0) <= html.LONGEST for m in kept)
+
+
+def test_remembered_tags_depend_on_nothing_that_follows():
+    """The same start of a tag, with a quote that ends or does not, on pages of one task."""
+    from marquee.operators import html
+
+    reader = html._Reader([Field("a", "a", attr="t", many=True), Field("text", "p"), Field("b", "b", many=True)])
+
+    def read(text):
+        values, errors, _ = reader.row(reader.page(text), 0)
+        return values, errors
+
+    assert read('<p><a t="x>1</a>') == ([[""], "1", []], [])
+    assert read('<p><a t="x>1">2</a>') == ([["x>1"], "2", []], [])
+    assert read('<p><a t="x<b>1">2</a><b>3') == ([["x<b>1"], "23", ["3"]], [])
+    assert read("<p>1 < 2 <b<i>3</b> <b>4</b>") == ([[], "1 < 2 3 4", ["4"]], [])
+    assert read("<p>1<!-- <b>no</b> -->2<script>'<b>no</b>'</script>3<b>4") == ([[], "1234", ["4"]], [])
+
+
+def test_attributes_that_cannot_be_read_count_where_they_are_reached(spark):
+    odd = f'<b class="&#{"1" * 5000};">odd</b>'
+    fields = [Field("first", "b.x"), Field("second", "b.x", nth=1), Field("third", "b.y")]
+    row = extract_record(pages(spark, f'<b class="x">1</b>{odd}<b class="x">2</b>'), fields).first()
+    assert (row["first"], row["second"], row["third"]) == ("1", None, None)
+    assert [e.split(":")[0] for e in row["_errors"]] == ["second"]

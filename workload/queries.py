@@ -12,7 +12,7 @@ from marquee import operators as op
 from marquee import plans
 from marquee.operators.quality import validate
 from marquee.sinks import shared_folder, stage, write_arrow, write_duplicates, write_outputs, write_yearly
-from marquee.sources import list_year_files, read_csv, read_csv_files, read_pages, scan_csv_files, scan_years
+from marquee.sources import list_year_files, read_csv, read_csv_files, read_pages, scan_csv_files, scan_years, spread
 from marquee.streaming import current_catalogue, merge_batch, refresh_catalogue
 from workload.frames import DATES, details, movies, table
 
@@ -618,7 +618,7 @@ def html_unmatched_tags(spark, sf):
         F.repeat(F.lit("<b><div>"), n), F.lit('<ul><li>one<p class="x">'), F.col("c_name"), F.repeat(F.lit("</i>"), n),
         F.lit("<table><li>two</table><li>three</ul></b>end"), F.repeat(F.lit("<a "), n),
     )
-    pages = table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    pages = spread(table(spark, sf, "customer")).select(F.col("c_custkey").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
     fields = [op.Field("name", "p.x"), op.Field("items", "li", many=True), op.Field("bold", "b", limit=1, many=True)]
     return op.extract_record(pages, fields).select("page_id", "name", F.array_join("items", "|").alias("items"), F.array_join("bold", "|").alias("bold"))
 
