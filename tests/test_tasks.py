@@ -32,3 +32,9 @@ def test_pages_of_unmatched_tags(spark, one_file):
     rows = w.html_unmatched_tags(spark, one_file)
     assert rows.count() == 200
     assert tasks(rows) >= spark.sparkContext.defaultParallelism
+
+
+def test_full_title_pages(spark, one_file):
+    rows = w.detail_sections(spark, one_file)
+    assert rows.count() == 200
+    assert tasks(rows) >= spark.sparkContext.defaultParallelism

@@ -680,7 +680,7 @@ def _full_title_pages(spark, sf):
         *section("title-cast-item", link(F.col("c_name"), actor), tag="div"), *section("title-cast-item", "<a>no actor</a>", tag="div"),
         *section("title-cast-item", link(F.lit("A. Star"), actor), tag="div"), F.lit("</div>"),
     )
-    return table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("https://ex.example/"), key).alias("url"), html.alias("html"))
+    return spread(table(spark, sf, "customer")).select("c_custkey", F.concat(F.lit("https://ex.example/"), key).alias("url"), html.alias("html"))
 
 
 @query
