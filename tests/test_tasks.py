@@ -38,3 +38,9 @@ def test_full_title_pages(spark, one_file):
     rows = w.detail_sections(spark, one_file)
     assert rows.count() == 200
     assert tasks(rows) >= spark.sparkContext.defaultParallelism
+
+
+def test_title_pages_of_the_build(spark, one_file):
+    built = plans.build_catalogue(w._list_pages(spark, one_file), w._title_pages(spark, one_file), "https://ex.example")
+    assert built.merged.count() == 2000
+    assert tasks(built.details) >= spark.sparkContext.defaultParallelism

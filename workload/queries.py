@@ -643,7 +643,7 @@ def _title_pages(spark, sf):
         F.lit('&nbsp;</span></li><div data-testid="awards"><a class="ipc-metadata-list-item__label">Awards</a>'),
         F.when(F.col("c_custkey") % 5 > 0, F.lit(f"{span}1 win</span>")).otherwise(""), F.lit("</div>"),
     )
-    return table(spark, sf, "customer").select(
+    return spread(table(spark, sf, "customer")).select(
         F.concat(F.lit("https://ex.example/title/tt"), F.col("c_custkey").cast("string"), F.lit("/?ref=1")).alias("url"),
         html.alias("html"),
     )
