@@ -44,3 +44,11 @@ def test_title_pages_of_the_build(spark, one_file):
     built = plans.build_catalogue(w._list_pages(spark, one_file), w._title_pages(spark, one_file), "https://ex.example")
     assert built.merged.count() == 2000
     assert tasks(built.details) >= spark.sparkContext.defaultParallelism
+
+
+def test_title_pages_of_each_year(spark, one_file):
+    titles = w._title_pages(spark, one_file).withColumn("src_year", F.explode(F.array(F.lit(0), F.lit(1))))
+    years = (F.col("page_id") % 2).cast("int")
+    built = plans.build_catalogue(w._list_pages(spark, one_file).withColumn("src_year", years), titles, "https://ex.example")
+    assert built.details.count() == 200  # the orders of a customer are on pages of one year here
+    assert tasks(built.details) >= spark.sparkContext.defaultParallelism
