@@ -52,3 +52,18 @@ def test_title_pages_of_each_year(spark, one_file):
     built = plans.build_catalogue(w._list_pages(spark, one_file).withColumn("src_year", years), titles, "https://ex.example")
     assert built.details.count() == 200  # the orders of a customer are on pages of one year here
     assert tasks(built.details) >= spark.sparkContext.defaultParallelism
+
+
+def test_list_pages(spark, one_file):
+    rows = w.listing_sections(spark, one_file)
+    assert rows.count() == 1804
+    assert tasks(rows) >= spark.sparkContext.defaultParallelism
+
+
+def test_list_pages_hold_the_same_items(spark, one_file):
+    """One page for every 50 keys, its items in the order of their text."""
+    pages = {r["page_id"]: r["html"] for r in w._list_pages(spark, one_file).collect()}
+    assert sorted(pages) == list(range(40))
+    for page, html in pages.items():
+        titles = [t.split(">")[1].split(".")[0] for t in html.split("<h3 ")[1:]]
+        assert titles == sorted(str(k) for k in range(page * 50, page * 50 + 50))

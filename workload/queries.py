@@ -581,7 +581,8 @@ def _list_pages(spark, sf, rated: bool = False):
     def tag(name: str, attrs: str, body: Column) -> Column:
         return F.concat(F.lit(f"<{name} {attrs}>"), F.coalesce(body, F.lit("")), F.lit(f"</{name}>"))
 
-    df = table(spark, sf, "orders")
+    page = F.floor(F.col("o_orderkey") / 50)
+    df = spread(table(spark, sf, "orders").withColumn("page_id", page), "page_id")  # before the items are put together
     spans = F.concat(
         F.lit('<div class="x dli-title-metadata">'), tag("span", "", F.year("o_orderdate").cast("string")),
         F.when(F.col("o_orderkey") % 4 > 0, tag("span", "", F.lit("1h 30m"))).otherwise(""),
@@ -599,7 +600,7 @@ def _list_pages(spark, sf, rated: bool = False):
         tag("span", 'class="ipc-rating-star--voteCount"', F.concat(F.lit("&nbsp;("), F.col("o_custkey").cast("string"), F.lit("K)"))),
         tag("div", 'class="ipc-html-content-inner-div"', F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" "))),
     )  # items are left open, as the next one ends them
-    return df.groupBy(F.floor(F.col("o_orderkey") / 50).alias("page_id")).agg(
+    return df.groupBy("page_id").agg(
         F.concat(
             F.lit('<html><body><ul class="ipc-metadata-list other">'),
             F.array_join(F.sort_array(F.collect_list(item)), ""), F.lit("</ul><footer>"),
