@@ -278,3 +278,58 @@ def test_attributes_that_cannot_be_read_count_where_they_are_reached(spark):
     row = extract_record(pages(spark, f'<b class="x">1</b>{odd}<b class="x">2</b>'), fields).first()
     assert (row["first"], row["second"], row["third"]) == ("1", None, None)
     assert [e.split(":")[0] for e in row["_errors"]] == ["second"]
+
+
+def test_attributes_of_an_element_are_read_once(monkeypatch):
+    from marquee.operators import html
+
+    read = []
+    plain = html._read_attributes
+    monkeypatch.setattr(html, "_read_attributes", lambda raw, into: read.append(raw) or plain(raw, into))
+    reader = html._Reader([Field("href", "a.x", attr="href", many=True), Field("first", "a.x", attr="href")])
+    page = reader.page("".join(f'<a class="x" href="/{k}">' for k in range(100)))
+    assert reader.row(page, 0)[0] == [[f"/{k}" for k in range(100)], "/0"]
+    assert len(read) == 100
+
+
+def test_pages_read_together_give_what_each_gives_alone():
+    import random
+
+    from marquee.operators import html
+
+    draw = random.Random(2)
+    unreadable = f"&#{'1' * 5000};"
+    fields = [
+        Field("p", "p"), Field("b", "b.x", nth=1, required=True), Field("in_li", "b", within="li", within_nth=1, default="d"),
+        Field("all", "b", within="ul", many=True, limit=2, default=()), Field("each", "b", each="li", skip=True, extra="i"),
+        Field("href", "a", attr="href", fatal=True), Field("both", "p", extra="b.x", sep="; "),
+    ]
+    marks = ["<p>", "</p>", "<ul>", "</ul>", "<li>", "<b class=x>", '<b class="x y">', "</b>", "<i>1</i>", '<a href="?a=1&amp;b">',
+             "<a>", "</a>", "t", "&lt;", "&copy", "<!-- <b> -->", "<br/>"]
+    pages = ["".join(draw.choices(marks, k=draw.randrange(30))) for _ in range(300)]
+    odd_pages = {7: f'<b class="x{unreadable}">', 40: f"<p>{unreadable}", 41: f'<a href="{unreadable}">'}
+    for k, mark in odd_pages.items():
+        pages[k] = mark + pages[k]
+    reader = html._Reader(fields)
+    together = reader.page(pages[0])
+    tops = [0, *(together.add(text) for text in pages[1:])]
+    odd = set()
+    columns, errors, failed = reader.columns(together, tops, odd)
+    assert sorted({max(k for k, top in enumerate(tops) if top <= i) for i in odd}) == sorted(odd_pages)
+    for k, text in enumerate(pages):
+        if k not in odd_pages:
+            assert ([c[k] for c in columns], errors[k], failed[k]) == html._Reader(fields).row(html._Page(text), 0), text
+
+
+def test_unreadable_pages_among_others(spark):
+    """Pages that are read alone stay in their place, with their items and errors."""
+    broken = f'<ul class="&#{"1" * 5000};"><li><a href="n">'
+    texts = [None if k % 10 == 4 else broken if k % 10 == 3 else f'<ul class="x"><li><a href="{k}">{k}</a><li>b</ul>' for k in range(600)]
+    fields = [Field("href", "a", attr="href", fatal=True), Field("label", "a")]
+    rows = extract_items(pages(spark, *texts).coalesce(1), "li", fields, "ul.x", ("page_id",), on_error="keep").collect()
+    expected = [
+        (k, n, v, v, failed) for k in range(600)
+        for n, v, failed in ([(-1, None, True)] if k % 10 in (3, 4) else [(0, str(k), False), (1, None, False)])
+    ]
+    assert [(r["page_id"], r["_item"], r["href"], r["label"], r["_failed"]) for r in rows] == expected
+    assert extract_items(pages(spark, *texts), "li", fields, "ul.x", ("page_id",)).count() == 960
